@@ -22,7 +22,7 @@ SELECT '{SITE}/Search/Type,Biography/Initial,' || lang || '/' || doc_id AS url,
        || '<div class="top pages"><span> ' || doc_id || ' </span><a id="pg_' || (doc_id + 1) || '">' || (doc_id + 1)
        || '</a><a id="pg_old">7</a><a id="pg_seven">7</a><a id="pg_next">&gt;</a><a>no id</a></div>'
        || '<script>var x = "<div class=personItem>";</script>'
-       || '<div class="personItem"><div class="name"><a href="../../bio/' || doc_id || '"> Doc <b>' || source
+       || '<div class="personItem"><div class="name"><a href="../bio/' || doc_id || '"> Doc <b>' || source
        || '</b>\n &amp; ' || lang || '</a><a href="/other">other</a></div><span class="dates">' || n_chars
        || '-</span><div class="activity"><a>' || lang || '</a><a> </a><a>' || source || '</a></div></div>'
        || '<div class="personItem"><div class="name"><a href="/Search/Type,Biography/bio/' || (doc_id + 1)
@@ -71,8 +71,8 @@ LOG_COLUMNS = ["url", "name", "dates", "activity", "biography_url", "biography_n
 
 PROGRESS = """
 SELECT 'https://people.example/Initial,' || user_id AS index_url, event_id AS seq, ts AS updated_at,
-       CAST(value AS BIGINT) AS page,
-       CASE WHEN event_type <> 'error' THEN CAST(value AS BIGINT) + 3 END AS total_pages,
+       CAST(floor(value) AS BIGINT) AS page,
+       CASE WHEN event_type <> 'error' THEN CAST(floor(value) AS BIGINT) + 3 END AS total_pages,
        CASE WHEN event_type = 'signup' THEN value > 30 END AS completed,
        CASE WHEN event_type = 'view' THEN CASE WHEN value > 10 THEN props ELSE '' END END AS html
 FROM {events}
