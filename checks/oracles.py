@@ -48,6 +48,15 @@ NAV = """nav AS (
     links AS (SELECT page_id, origin, unnest(hrefs) AS href, CAST(unnest(range(len(hrefs))) AS INT) AS pos FROM nav),
     resolved AS (SELECT page_id, pos, origin || """ + encoded("href") + """ AS link FROM links)"""
 
+
+
+def to_three_digits(x: str) -> str:
+    """Half up on the exact double: down from round() if that went past the half-way point."""
+    n = f"round(round({x}, 3) * 1000)"
+    head = f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
+    return f"(({n} - CASE WHEN ({head} * 2000 - ({n} * 2 - 1)) + ({x} - {head}) * 2000 < 0 THEN 1 ELSE 0 END) / 1000)"
+
+
 # --- occupations: brute force over all pairs ----------------------------------
 MODEL = f"""seeds AS ({st.for_duckdb(st.SEEDS)}),
     aliases AS (SELECT seed_pos, qid, label, unnest(aliases) AS raw, CAST(unnest(range(len(aliases))) AS INT) AS alias_pos
@@ -71,15 +80,16 @@ def linking(source: str, record_id: str, activity: str, threshold: float) -> str
     numbered AS (SELECT {record_id}, unnest(parts) AS piece, unnest(range(len(parts))) AS pos FROM cut),
     pieces AS (SELECT {record_id}, piece, min(pos) AS pos, {plain('piece')} AS text FROM numbered GROUP BY ALL),
     texts AS (SELECT DISTINCT text, string_split(text, ' ') AS have FROM pieces WHERE text <> ''),
-    pairs AS (
-        SELECT text, seed_pos, qid, label, round(CASE
+    raw_pairs AS (
+        SELECT text, seed_pos, qid, label, CASE
             WHEN text = alias THEN 1.0
             WHEN contains(text, alias) OR contains(alias, text)
                 THEN 0.75 + (0.2::DOUBLE * least(length(text), length(alias))) / greatest(length(text), length(alias))
             WHEN len([w for w in words if list_contains(have, w)]) > 0
                 THEN 0.45 + 0.35::DOUBLE * (len([w for w in words if list_contains(have, w)]) / len(words))
-            ELSE 0 END, 3) AS score
+            ELSE 0 END AS score
         FROM texts, model),
+    pairs AS (SELECT text, seed_pos, qid, label, {to_three_digits('score')} AS score FROM raw_pairs),
     scored AS (SELECT text, seed_pos, qid, label, max(score) AS confidence FROM pairs GROUP BY ALL),
     matches AS (SELECT text, qid, min(seed_pos) AS seed_pos, arg_min(label, seed_pos) AS label,
                        arg_min(confidence, seed_pos) AS confidence

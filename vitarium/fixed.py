@@ -37,7 +37,7 @@ WHITESPACE_BUT_SPACE = (
 WHITESPACE = f"[ {WHITESPACE_BUT_SPACE}]"
 
 # --- Fixed values: separators and list joiner of activity labels --------------
-ACTIVITY_SEPARATORS = r"[|;,]"
+ACTIVITY_SEPARATORS = "|;,"
 LABEL_JOINER = " | "
 
 # --- Fixed values: selectors of the catalogue site ----------------------------

@@ -63,12 +63,10 @@ def match_key(c: Column | str) -> Column:
 
 def split_activities(c: Column | str) -> Column:
     """Pieces between ``|``, ``;`` and ``,``, trimmed, in order, none empty."""
-    ends = f"^{WHITESPACE}+|{WHITESPACE}+$"
-    pieces = F.transform(
-        F.split(F.coalesce(_col(c), F.lit("")), ACTIVITY_SEPARATORS),
-        lambda piece: F.regexp_replace(piece, ends, ""),
-    )
-    return F.filter(pieces, lambda piece: piece != "")
+    # a piece runs from a letter that is neither separator nor space to the last such letter
+    edge = f"[^{ACTIVITY_SEPARATORS} {WHITESPACE_BUT_SPACE}]"
+    piece = f"({edge}(?:[^{ACTIVITY_SEPARATORS}]*{edge})?)"
+    return F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(piece), F.lit(1))
 
 
 def first_truthy(*columns: Column | str) -> Column:

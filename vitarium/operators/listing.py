@@ -54,7 +54,8 @@ def pages_ahead(state: DataFrame, *, max_pages: int | None = None, index_url: st
     start = F.coalesce(F.col(last_page), F.lit(0)).cast("bigint") + 1
     stop = F.col(total_pages).cast("bigint")
     if max_pages:
-        stop = F.least(stop, F.lit(max_pages).cast("bigint"))
+        # least() would pass over an unknown total
+        stop = F.when(stop.isNotNull(), F.least(stop, F.lit(max_pages).cast("bigint")))
     # sequence() would count down over an empty range, hence the filter
     return state.filter(stop >= start).select(
         index_url, F.explode(F.sequence(start, stop)).alias("page_no"))

@@ -8,7 +8,7 @@ candidates.  No pair that can reach the threshold is missed:
 * alias inside label - the label holds the alias's first letters (``GRAM`` or fewer);
 * label inside alias - the alias holds the label's first ``GRAM`` letters;
 * shared words - of the ``m`` words of an alias that needs ``k`` of them, at least
-  one of any ``m - k + 1`` must be shared; the rarest are taken.
+  one of any ``m - k + 1`` must be shared; the longest are taken, being rarest.
 """
 
 from __future__ import annotations
@@ -54,16 +54,29 @@ def score(text: Column | str, alias: Column | str, alias_tokens: Column | str) -
     shared = F.size(F.filter(tokens, lambda word: F.array_contains(words, word)))
     lengths = (F.length(text), F.length(alias))
     contained = fixed.SCORE_CONTAINED_BASE + (fixed.SCORE_CONTAINED_SPAN * F.least(*lengths)) / F.greatest(*lengths)
-    return F.round(
+    return (
         F.when(text == "", 0.0)
         .when(text == alias, fixed.SCORE_EQUAL)
-        .when(F.contains(text, alias) | F.contains(alias, text), contained)
-        .when(shared > 0, _token_score(shared, F.size(tokens)))
-        .otherwise(0.0),
-        fixed.SCORE_DIGITS,
+        .when(F.contains(text, alias) | F.contains(alias, text), rounded(contained))
+        .when(shared > 0, rounded(_token_score(shared, F.size(tokens))))
+        .otherwise(0.0)
     )
 
 
+def rounded(value: Column) -> Column:
+    """A score to three digits, decided by the exact value of the double.
+
+    ``round()`` looks at the shortest decimal form and so lifts 0.7625, which as a
+    double lies just below that, to 0.763 instead of 0.762.  Such values are found
+    by an exact comparison with the half-way point: a double is the sum of its float
+    part and a rest, and both times 2000 are exact.
+    """
+    thousandths = F.round(F.round(value, fixed.SCORE_DIGITS) * 1000)
+    head = value.cast("float").cast("double")
+    above_half = (head * 2000 - (thousandths * 2 - 1)) + (value - head) * 2000
+    return F.when(above_half < 0, thousandths - 1).otherwise(thousandths) / 1000
+
+
 def _token_score(shared: Column, total: Column) -> Column:
     return fixed.SCORE_TOKENS_BASE + fixed.SCORE_TOKENS_SPAN * (shared / total)
 
@@ -74,38 +87,36 @@ def _grams(text: Column, sizes: Sequence[int]) -> Column:
         F.regexp_extract_all(text, F.lit(f"(?=(.{{{size}}}))"), F.lit(1)) for size in sizes])
 
 
+def _tagged(tag: str, values: Column) -> Column:
+    """Marks words ("=") and letters around a label ("<"); heads inside it stay bare."""
+    return F.transform(values, lambda value: F.concat(F.lit(tag), value))
+
+
 def _anchors(model: DataFrame, head_size: int, min_confidence: float) -> DataFrame:
-    payload = ["seed_pos", "qid", "label", "alias", "alias_tokens"]
     total = F.size("alias_tokens")
     reaching = F.filter(
         F.sequence(F.lit(1), total),
-        lambda k: F.round(_token_score(k, total), fixed.SCORE_DIGITS) >= min_confidence,
+        lambda k: rounded(_token_score(k, total)) >= min_confidence,
     )
-    words = model.withColumn("__need", F.get(reaching, F.lit(0))).select(
-        *payload, "alias_pos", "__need", F.explode("alias_tokens").alias("word"))
-    frequency = words.groupBy("word").agg(F.count("*").alias("__uses"))
-    rarest = Window.partitionBy("seed_pos", "alias_pos").orderBy("__uses", "word")
-    shared = (
-        words.join(frequency, "word")
-        .withColumn("__rank", F.row_number().over(rarest))
-        .filter(F.col("__rank") <= F.size("alias_tokens") - F.col("__need") + 1)
-        .select(*payload, F.concat(F.lit("word:"), "word").alias("anchor"))
+    needed = F.get(reaching, F.lit(0))  # NULL if shared words alone cannot reach the threshold
+    longest = F.transform(
+        F.array_sort(F.transform("alias_tokens", lambda word: F.struct((-F.length(word)).alias("n"), word.alias("w")))),
+        lambda entry: entry["w"],
     )
-    head = model.select(*payload, F.concat(F.lit("inside:"), F.substring("alias", 1, head_size)).alias("anchor"))
-    grams = F.array_distinct(_grams(F.col("alias"), range(1, GRAM + 1)))
-    around = model.select(*payload, F.explode(grams).alias("gram")).select(
-        *payload, F.concat(F.lit("around:"), "gram").alias("anchor"))
-    return shared.unionByName(head).unionByName(around)
+    anchors = F.concat(
+        _tagged("=", F.slice(longest, F.lit(1), F.coalesce(total - needed + 1, F.lit(0)))),
+        F.array(F.substring("alias", 1, head_size)),
+        _tagged("<", _grams(F.col("alias"), range(1, GRAM + 1))),
+    )
+    return model.select(
+        "seed_pos", "qid", "label", "alias", "alias_tokens", F.explode(F.array_distinct(anchors)).alias("anchor"))
 
 
 def _probes(labels: DataFrame, head_sizes: Sequence[int]) -> DataFrame:
-    def tagged(tag, values):
-        return F.transform(values, lambda v: F.concat(F.lit(tag), v))
-
     anchors = F.concat(
-        tagged("word:", F.split("text", " ")),
-        tagged("inside:", _grams(F.col("text"), head_sizes)),
-        F.array(F.concat(F.lit("around:"), F.substring("text", 1, GRAM))),
+        _tagged("=", F.split("text", " ")),
+        _grams(F.col("text"), head_sizes),
+        F.array(F.concat(F.lit("<"), F.substring("text", 1, GRAM))),
     )
     return labels.select("*", F.explode(anchors).alias("anchor"))
 
