@@ -96,9 +96,17 @@ def test_statement_files(spark, scratch):
     assert items == sorted(items, key=lambda q: int(q[1:])) and len(items) == out.count()
 
 
-def test_few_files_are_spread_and_many_left_alone(spark, scratch):
-    path = scratch("t")
-    spark.range(100).repartition(1).write.parquet(path)
-    assert read_table(spark, path, min_partitions=4).rdd.getNumPartitions() == 4
-    assert "Exchange" not in read_table(spark, path, min_partitions=1)._jdf.queryExecution().executedPlan().toString()
+def test_only_small_inputs_are_spread(spark, scratch):
+    few, many = scratch("few"), scratch("many")
+    spark.range(100).repartition(1).write.parquet(few)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 27)  # one partition per file
+    try:
+        spark.range(100).repartition(12).write.parquet(many)
+
+        def shuffles(path, column):
+            return "Exchange" in read_table(spark, path, spread_by=column)._jdf.queryExecution().executedPlan().toString()
+
+        assert shuffles(few, "id") and not shuffles(few, None) and not shuffles(many, "id")
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
     assert RECORD.names == RECORD_COLUMNS

@@ -110,12 +110,14 @@ def detail_frontier(records: DataFrame, *, seq: Seq, done: DataFrame | None = No
     """
     order = order_by(seq)
     others = [c for c in records.columns if c != url]
+    finished = has_details(records, retry_errors)
     per_url = (
         records.filter(F.coalesce(F.col(url), F.lit("")) != "")
         .groupBy(url)
         .agg(
-            F.min_by(F.struct(*others), order).alias("row"),
-            F.max(has_details(records, retry_errors)).alias("done"),
+            # a row with details rules its URL out, so its texts need not travel
+            F.min_by(F.when(~finished, F.struct(*others)), order).alias("row"),
+            F.max(finished).alias("done"),
         )
         .filter(~F.col("done"))
     )

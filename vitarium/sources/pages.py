@@ -9,9 +9,9 @@ from vitarium.schema import PAGES
 from vitarium.sources.tables import read_table
 
 
-def read_pages(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, spread_by: str | None = "url") -> DataFrame:
     """Pages of a parquet table.  Parsing is the costly step, so few files are spread out."""
-    return read_table(spark, path, min_partitions=min_partitions)
+    return read_table(spark, path, spread_by=spread_by)
 
 
 def stream_pages(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
