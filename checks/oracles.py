@@ -264,6 +264,12 @@ ORACLES = {
         FROM people LEFT JOIN answered ON url = biography_url""",
     "extend_log": f"""WITH {PEOPLE} SELECT count(*) AS scraped, CAST(0 AS BIGINT) AS skipped, count(*) AS total_seen,
         count(*) AS records_saved FROM people""",
+    "missing_listing_pages": """WITH t AS (SELECT lang, max(greatest(doc_id + 1, 7)) AS total FROM documents GROUP BY lang),
+            wanted AS (SELECT lang, unnest(range(1, total + 1)) AS page_no FROM t)
+        SELECT lang AS index_url, page_no FROM wanted w
+        WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.lang = w.lang AND d.doc_id = page_no)""",
+    "listing_state": """SELECT lang AS index_url, max(doc_id) AS last_page, max(greatest(doc_id + 1, 7)) AS total_pages,
+        max(doc_id) >= max(greatest(doc_id + 1, 7)) AS completed FROM documents GROUP BY lang""",
     "stream_dedupe": f"WITH {LOG} SELECT DISTINCT record_key FROM keyed WHERE record_key <> ''",
     "stream_state": f"WITH {STATE} SELECT * FROM state",
 }

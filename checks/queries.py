@@ -329,6 +329,16 @@ def extend_log(spark: Spark, sf: str) -> DataFrame:
         spark, st.standin(spark, sf, st.LISTING_PAGES), st.standin(spark, sf, st.DETAIL_PAGES), path, batch_id=0)
 
 
+def missing_listing_pages(spark: Spark, sf: str) -> DataFrame:
+    progress = catalogue.listing_progress(st.standin(spark, sf, st.LISTING_PAGES), index_url="initial")
+    return catalogue.missing_listing_pages(progress)
+
+
+def listing_state(spark: Spark, sf: str) -> DataFrame:
+    progress = catalogue.listing_progress(st.standin(spark, sf, st.LISTING_PAGES), index_url="initial")
+    return catalogue.listing_state(progress)
+
+
 def _stream_of(spark: Spark, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.repartition(4).write.parquet(path)
@@ -362,6 +372,7 @@ QUERIES = {
         crawl_totals, taxonomy_model, score_pairs, suggest, top_suggestion, statements, statement_columns,
         quickstatements, link_documents, csv_roundtrip, union_align, append_then_compact, load_existing,
         log_snapshot, save_snapshot, build_catalogue, ingest_stream, enrich_stream, compact_job, extend_log,
+        missing_listing_pages, listing_state,
         stream_dedupe, stream_state,
     ]
 }

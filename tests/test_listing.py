@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from vitarium.operators import listing
 
 
@@ -37,3 +39,12 @@ def test_crawl_totals(spark):
                                  "index_url string, total_pages long, resumed boolean")
     assert tuple(listing.crawl_totals(read, resumed="resumed").first()) == (13, 2)
     assert tuple(listing.crawl_totals(read.filter("false")).first()) == (0, 0)
+
+
+def test_one_long_index_is_spread(spark):
+    state = spark.createDataFrame([("a", 4, 1_000_003)], "index_url string, last_page long, total_pages long")
+    ahead = listing.pages_ahead(state)
+    got = ahead.agg(F.count("*"), F.min("page_no"), F.max("page_no"), F.count_distinct("page_no")).first()
+    assert tuple(got) == (999_999, 5, 1_000_003, 999_999)
+    sizes = [r["count"] for r in ahead.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 400_000

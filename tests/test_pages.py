@@ -67,11 +67,20 @@ def test_markup_oddities():
     assert texts("<A CLASS=K>t</A>", "a.K") == [["t"]]
 
 
+def test_pages_that_cannot_match_are_still_rows(spark):
+    df = pages(spark, [("a", "<p>nothing here"), ("b", "<p class='birth&#68;ateText'>1900")])
+    assert rows(p.detail_fields(df).select("biography_url", "biography_birth_date", "biography_error"), "biography_url") == [
+        ("a", "", None), ("b", "1900", None)]
+    assert p.listing_cards(df).count() == 0
+    assert len(find_values('<p class="person&#73;tem">', [Rule("t", "")], ".personItem")) == 1
+
+
 def test_many_large_pages_keep_their_rows(spark):
     """More text than one output batch holds, and every page comes out once."""
     df = spark.range(40).select(
         F.concat(F.lit("u"), "id").alias("url"),
-        F.concat(F.repeat(F.lit("<b>x</b>"), 60_000), F.lit("<i>"), "id", F.lit("</i>")).alias("html")).coalesce(1)
+        F.concat(F.repeat(F.lit("<b>x</b>"), 500), F.repeat(F.lit("y"), 600_000), F.lit("<i>"), "id", F.lit("</i>"))
+        .alias("html")).coalesce(1)
     got = extract(df, [Rule("n", "i"), Rule("b", "b")]).select("url", F.get("n", F.lit(0)).alias("n"), F.size("b").alias("b"))
     assert sorted((r.url, r.b) for r in got.filter("url = concat('u', n)").collect()) == sorted(
-        (f"u{i}", 60_000) for i in range(40))
+        (f"u{i}", 500) for i in range(40))

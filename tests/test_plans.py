@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.site import BASE, card, detail, listing, pages
+from vitarium.operators.listing import pages_ahead, resume_points
 from vitarium.operators.pages import listing_cards, pager_summary
 from vitarium.operators.records import compact_latest, log_progress
 from vitarium.plans import catalogue as c
@@ -29,7 +30,7 @@ def test_build_catalogue(spark):
     assert [(g.name, g.biography_name, g.biography_activities, g.biography_text) for g in got] == [
         ("Ala again", "Ala Nowak", "pisarka | poetka", "Ala opis."), ("Adam", "Adam Kowal", "muzyk", "Adam opis.")]
     assert c.build_catalogue(lists, None).count() == 2
-    totals = c.listing_totals(lists.withColumn("index_url", F.col("url"))).first()
+    totals = c.listing_totals(lists).first()
     assert tuple(totals) == (2, 2)
 
 
@@ -94,10 +95,32 @@ def test_twelve_pages_in_two_pager_windows(spark):
     lists = pages(spark, [(BASE, listing(window(n), [card(f"/p/{n}", f"Person {n}")])) for n in range(1, 13)])
     got = c.build_catalogue(lists, None).orderBy("first_seq").collect()
     assert len(got) == 12 and got[-1].name == "Person 12"
-    assert tuple(c.listing_totals(lists.withColumn("index_url", F.col("url"))).first()) == (12, 12)
+    assert tuple(c.listing_totals(lists).first()) == (12, 12)
     assert pager_summary(lists, keep=["page_seq"]).filter("page_seq + 1 = current_page").count() == 12
 
 
+def test_listing_resumes_after_the_saved_page(spark, scratch):
+    """Pages 1 and 2 of 3 were read; page 3 is what is left, and it completes the listing."""
+    pager = [[("1", None), ("2", "p2")], [("1", "p1"), ("2", None), ("3", "p3")], [("2", "p2"), ("3", None)]]
+    lists = pages(spark, [(BASE, listing(pager[n], [card(f"/p/{n + 1}", f"Person {n + 1}")])) for n in range(3)])
+    path = scratch("log")
+    before, after = lists.filter("page_seq < 2"), lists.filter("page_seq = 2")
+    c.append_listing(spark, before, path, batch_id=0)
+    progress = c.listing_progress(before)
+    index = c.index_url_table(spark, BASE, ["A", "B"])
+    points = resume_points(index.select("index_url"), c.listing_state(progress)).collect()
+    assert sorted((p.index_url[-2:], p.start_page, p.resumed) for p in points) == [("A/", 2, True), ("B/", 1, False)]
+    assert [r.page_no for r in pages_ahead(c.listing_state(progress)).collect()] == [3]
+    assert [r.page_no for r in c.missing_listing_pages(progress).collect()] == [3]
+    assert c.missing_listing_pages(progress, max_pages=2).count() == 0
+    c.append_listing(spark, after, path, batch_id=1)
+    assert sorted(r.name for r in scan_log(spark, path).collect()) == ["Person 1", "Person 2", "Person 3"]
+    everything = c.listing_progress(lists)
+    assert c.missing_listing_pages(everything).count() == 0
+    points = resume_points(index.select("index_url"), c.listing_state(everything)).collect()
+    assert [p.index_url[-2:] for p in points] == ["B/"]
+
+
 def test_index_pages(spark):
     assert c.index_url_table(spark, BASE, ["A", "Ł"]).count() == 2
     assert c.index_url_table(spark, BASE).select("index_url").distinct().count() == 30
@@ -159,6 +182,17 @@ def test_streams_equal_batches(spark, scratch):
     assert got.select("url").distinct().count() == 20
 
 
+def test_a_new_checkpoint_needs_a_new_run(spark, scratch):
+    lists, _ = many(spark)
+    folder, path = scratch("pages"), scratch("log")
+    lists.select(*[F.col(f.name).cast(f.dataType) for f in PAGES]).write.parquet(folder)
+    jobs.ingest_stream(stream_pages(spark, folder), path, scratch("first")).awaitTermination()
+    with pytest.raises(ValueError, match="run_id"):
+        jobs.ingest_stream(stream_pages(spark, folder), path, scratch("second"))
+    jobs.ingest_stream(stream_pages(spark, folder), path, scratch("third"), run_id=1).awaitTermination()
+    assert scan_log(spark, path).count() == 20
+
+
 def test_a_repeated_batch_replaces_itself(spark, scratch):
     lists, details = many(spark)
     path = scratch("log")

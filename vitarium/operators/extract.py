@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -50,6 +51,7 @@ class Rule:
     resolve: bool = False
 
 
+@lru_cache(maxsize=256)
 def compile_selector(selector: str) -> list[list[list[tuple[str, str, str]]]]:
     """Comma union of descendant chains of simple tests ``(attribute, how, value)``."""
     chains = []
@@ -87,13 +89,31 @@ def _passes(node: dict[str, str], tests: list[tuple[str, str, str]]) -> bool:
     return True
 
 
+def _may_match(html: str, selectors: Sequence[str]) -> bool:
+    """False only if no selector can match: each of their chains tests a class, id or
+    attribute value that the page nowhere spells, not even by character number (or by
+    the one character name that stands for ASCII letters)."""
+    if "&#" in html or "&fjlig" in html:
+        return True
+    for selector in selectors:
+        for steps in compile_selector(selector):
+            values = [value for tests in steps for attr, _, value in tests if attr and value]
+            if all(value in html for value in values if value.isalnum()):
+                return True
+    return False
+
+
 class _Finder(HTMLParser):
     """One pass over a page: matches rules as tags open, gathers text until they close."""
 
     def __init__(self, rules: Sequence[Rule], scope: str | None):
         super().__init__(convert_charrefs=True)
         self.fields = [rule.field for rule in rules]
-        self.rules = [(rule, compile_selector(rule.selector)) for rule in rules]
+        by_selector: dict[str, list[Rule]] = {}
+        for rule in rules:
+            by_selector.setdefault(rule.selector, []).append(rule)
+        self.own_rules = by_selector.pop("", [])
+        self.rules = [(compile_selector(selector), group) for selector, group in by_selector.items()]
         self.scope = compile_selector(scope) if scope else None
         self.rows: list[dict[str, list]] = [] if scope else [{f: [] for f in self.fields}]
         self.open: list[tuple[dict, list[list[str]], dict | None]] = []
@@ -110,6 +130,18 @@ class _Finder(HTMLParser):
                     return True
         return False
 
+    def updatepos(self, i, j):  # line numbers are not needed
+        return j
+
+    @staticmethod
+    def _take(node, rules, targets, texts):
+        for rule in rules:
+            value = node.get(rule.attr) if rule.attr else []
+            for target in targets:
+                target[rule.field].append(value)
+            if rule.attr is None:
+                texts.append(value)
+
     def handle_starttag(self, tag, attrs):
         ended, fences = IMPLIED_ENDS.get(tag, ((), ()))
         for depth in range(len(self.open) - 1, -1, -1) if ended else ():
@@ -128,18 +160,12 @@ class _Finder(HTMLParser):
             row = {f: [] for f in self.fields}
             self.rows.append(row)
         texts: list[list[str]] = []
-        for rule, chains in self.rules:
-            if rule.selector:
-                targets = self.scopes if self.scopes and self._matches(chains, node) else ()
-            else:
-                targets = (row,) if row is not None else ()
-            if not targets:
-                continue
-            value = node.get(rule.attr) if rule.attr else []
-            for target in targets:
-                target[rule.field].append(value)
-            if rule.attr is None:
-                texts.append(value)
+        if row is not None:
+            self._take(node, self.own_rules, (row,), texts)
+        if self.scopes:
+            for chains, rules in self.rules:
+                if self._matches(chains, node):
+                    self._take(node, rules, self.scopes, texts)
         if tag not in VOID:
             self.open.append((node, texts, row))
             if row is not None:
@@ -161,13 +187,16 @@ class _Finder(HTMLParser):
         if self.open and self.open[-1][0][""] in ("script", "style"):
             return
         for _, texts, _ in self.open:
-            for text in texts:
-                text.append(data)
+            if texts:
+                for text in texts:
+                    text.append(data)
 
 
 def find_values(html: str, rules: Sequence[Rule], scope: str | None = None,
                 base: str | None = None) -> list[dict[str, list[str | None]]]:
     """Rows of one page: one per scope node, or a single one without a scope."""
+    if not _may_match(html, [scope] if scope else [rule.selector for rule in rules]):
+        return [] if scope else [{rule.field: [] for rule in rules}]
     finder = _Finder(rules, scope)
     finder.feed(html)
     finder.close()

@@ -32,13 +32,18 @@ def listing_events(progress: DataFrame, *, page: str = "page", total_pages: str
 
 
 def resume_points(index_urls: DataFrame, state: DataFrame, *, index_url: str = "index_url") -> DataFrame:
-    """Index pages still to read and where to start: after the saved page if both the
-    page number and its HTML were saved, else at page 1."""
-    saved = (F.coalesce(F.col("html") != "", F.lit(False))
-             & F.coalesce(F.col("last_page") != 0, F.lit(False)))
-    known = state.select(index_url, "completed", "html", "last_page")
+    """Index pages still to read and where to start: after the saved page if its number
+    and HTML were saved, else at page 1.
+
+    A state without an ``html`` column stands for pages kept in the pages table.
+    """
+    saved = F.coalesce(F.col("last_page") != 0, F.lit(False))
+    columns = [index_url, "completed", "last_page"]
+    if "html" in state.columns:
+        saved = saved & F.coalesce(F.col("html") != "", F.lit(False))
+        columns.append("html")
     return (
-        index_urls.join(known, index_url, "left")
+        index_urls.join(state.select(*columns), index_url, "left")
         .filter(~F.coalesce("completed", F.lit(False)))
         .select(
             *index_urls.columns,
@@ -48,6 +53,10 @@ def resume_points(index_urls: DataFrame, state: DataFrame, *, index_url: str = "
     )
 
 
+#: Page numbers are listed in spans of this many, so one long index becomes many tasks.
+PAGE_SPAN = 10_000
+
+
 def pages_ahead(state: DataFrame, *, max_pages: int | None = None, index_url: str = "index_url",
                 last_page: str = "last_page", total_pages: str = "total_pages") -> DataFrame:
     """Page numbers after the last one read, up to the total or the page limit."""
@@ -57,8 +66,13 @@ def pages_ahead(state: DataFrame, *, max_pages: int | None = None, index_url: st
         # least() would pass over an unknown total
         stop = F.when(stop.isNotNull(), F.least(stop, F.lit(max_pages).cast("bigint")))
     # sequence() would count down over an empty range, hence the filter
-    return state.filter(stop >= start).select(
-        index_url, F.explode(F.sequence(start, stop)).alias("page_no"))
+    span = state.filter(stop >= start).select(index_url, stop.alias("__stop"), F.explode(
+        F.sequence(start, stop, F.lit(PAGE_SPAN).cast("bigint"))).alias("__start"))
+    partitions = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return span.repartition(partitions, index_url, "__start").select(
+        index_url,
+        F.explode(F.sequence("__start", F.least("__stop", F.col("__start") + (PAGE_SPAN - 1)))).alias("page_no"),
+    )
 
 
 def page_gaps(captured: DataFrame, totals: DataFrame, *, max_pages: int | None = None,

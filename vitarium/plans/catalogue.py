@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitarium import fixed
 from vitarium.functions.urls import index_urls, with_record_key
-from vitarium.operators.listing import crawl_totals
+from vitarium.operators.listing import crawl_totals, index_totals, listing_events, page_gaps
 from vitarium.operators.pages import detail_fields, index_links, listing_cards, pager_summary
 from vitarium.operators.records import (
     compact_latest,
@@ -144,8 +144,33 @@ def compact_job(spark: SparkSession, log_path: str, snapshot_path: str) -> None:
     compact_latest(scan_log(spark, log_path), seq=LOG_ORDER).write.mode("errorifexists").parquet(snapshot_path)
 
 
-def listing_totals(listing_pages: DataFrame, index_url: str = "index_url") -> DataFrame:
-    """Pages available over all indexes and pages captured."""
-    summary = pager_summary(good_pages(listing_pages), keep=[index_url])
-    return crawl_totals(summary, index_url=index_url)
+def listing_progress(listing_pages: DataFrame, *, index_url: str = "url") -> DataFrame:
+    """One progress event per captured listing page: its number, the total its pager
+    shows, and whether it is the last.  Fold it to get the listing state."""
+    keep = list(dict.fromkeys([index_url, "page_seq"]))
+    summary = pager_summary(good_pages(listing_pages), keep=keep)
+    return listing_events(summary.select(
+        F.col(index_url).alias("index_url"),
+        F.col("current_page").alias("page"),
+        "total_pages",
+        F.col("page_seq").alias("seq"),
+    ))
+
+
+def listing_state(progress: DataFrame) -> DataFrame:
+    """Per index: the last page read, the highest total any page showed, completed or not."""
+    return progress.groupBy("index_url").agg(
+        F.max_by("page", "seq").alias("last_page"),
+        F.max("total_pages").alias("total_pages"),
+    ).withColumn("completed", F.coalesce(F.col("last_page") >= F.col("total_pages"), F.lit(False)))
+
 
+def missing_listing_pages(progress: DataFrame, *, max_pages: int | None = None) -> DataFrame:
+    """Listing pages that pagers speak of and that were not captured."""
+    captured = progress.select("index_url", F.col("page").alias("page_no"))
+    return page_gaps(captured, index_totals(progress), max_pages=max_pages)
+
+
+def listing_totals(listing_pages: DataFrame, *, index_url: str = "url") -> DataFrame:
+    """Pages available over all indexes and pages captured."""
+    return crawl_totals(listing_progress(listing_pages, index_url=index_url))

@@ -6,7 +6,10 @@ of the log, so a batch that is run again after a failure replaces its own output
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import partial
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,14 +17,33 @@ from vitarium.functions.urls import with_record_key
 from vitarium.operators.listing import fold_listing_state
 from vitarium.operators.records import Seq
 from vitarium.plans.catalogue import append_details, append_listing
+from vitarium.schema import DETAIL_STAGE, LISTING_STAGE
+from vitarium.sources.log import scan_log
 
 #: Micro-batches of one run get ids ``run_id * RUN_SPAN + n``.
 RUN_SPAN = 1 << 40
 
 
-def _start(pages: DataFrame, work, checkpoint: str, run_id: int) -> StreamingQuery:
+def _begun(spark: SparkSession, checkpoint: str) -> bool:
+    try:
+        spark.read.text(f"{checkpoint}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def _start(pages: DataFrame, append, log_path: str, stage: int, checkpoint: str, run_id: int) -> StreamingQuery:
+    spark, first = pages.sparkSession, run_id * RUN_SPAN
+    if not _begun(spark, checkpoint):
+        used = scan_log(spark, log_path).filter(
+            (F.col("stage") == stage) & F.col("batch_id").between(first, first + RUN_SPAN - 1))
+        if not used.isEmpty():
+            raise ValueError(f"run_id {run_id} is used in this log: a new checkpoint folder needs a higher one")
+
     def batch(df: DataFrame, epoch: int) -> None:
-        work(df, run_id * RUN_SPAN + epoch)
+        append(df.sparkSession, df, log_path, batch_id=first + epoch)
 
     return (
         pages.writeStream.foreachBatch(batch)
@@ -34,22 +56,17 @@ def _start(pages: DataFrame, work, checkpoint: str, run_id: int) -> StreamingQue
 def ingest_stream(pages: DataFrame, log_path: str, checkpoint: str, *, run_id: int = 0) -> StreamingQuery:
     """Listing pages to new listing rows of the log.
 
-    Give a higher ``run_id`` whenever you begin with a new checkpoint folder, because
-    micro-batches then count from 0 again.
+    Micro-batches count from 0 in each checkpoint folder, so give a higher ``run_id``
+    whenever you begin with a new one.  Each micro-batch reads the keys of the whole
+    log once: let it take many files.
     """
-    return _start(
-        pages, lambda df, batch_id: append_listing(df.sparkSession, df, log_path, batch_id=batch_id),
-        checkpoint, run_id)
+    return _start(pages, append_listing, log_path, LISTING_STAGE, checkpoint, run_id)
 
 
 def enrich_stream(pages: DataFrame, log_path: str, checkpoint: str, *, run_id: int = 0,
                   retry_errors: bool = False) -> StreamingQuery:
     """Detail pages to detail rows of the log, for persons that still lack details."""
-    return _start(
-        pages,
-        lambda df, batch_id: append_details(
-            df.sparkSession, df, log_path, batch_id=batch_id, retry_errors=retry_errors),
-        checkpoint, run_id)
+    return _start(pages, partial(append_details, retry_errors=retry_errors), log_path, DETAIL_STAGE, checkpoint, run_id)
 
 
 def stream_dedupe(records: DataFrame) -> DataFrame:
