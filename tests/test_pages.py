@@ -1,8 +1,13 @@
+import os
+import pathlib
+import subprocess
+import sys
+
 from pyspark.sql import functions as F
 
 from tests.site import BASE, card, detail, listing, pages
 from vitarium.operators import pages as p
-from vitarium.operators.extract import Rule, extract, find_values
+from vitarium.operators.extract import Rule, Search, extract, find_values
 
 PAGER = '<div class="pages"><span>1</span><a id="S_c_1">2</a><a id="S_c_2">3</a><a id="S_c_10">></a></div>'
 
@@ -53,11 +58,12 @@ def test_index_links(spark):
 
 def test_markup_oddities():
     def texts(html, selector, scope=None):
-        return [row["v"] for row in find_values(html, [Rule("v", selector)], scope)]
+        return [row["v"] for row in find_values(html, Search([Rule("v", selector)], scope))]
 
     assert texts("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "ul ul li") == [["c"]]
     assert texts("<script>var x='<p>no</p>'</script><p>yes", "p") == [["yes"]]
-    assert texts("<div>a<script>no</script><style>no</style>b</div>", "div") == [["ab"]]
+    assert texts("<div>a<script>no</script><style>no</style>b</div>", "div") == [["anonob"]]
+    assert texts("<noscript><p>raw</p></noscript><p>a<!-- no -->b", "p") == [["ab"]]
     assert texts("<p>a<div>b</div>", "p") == [["a"]]
     assert texts("<a>x<a>y", "a") == [["x", "y"]]
     assert texts("<br><img class='k'>t<p class='k l'>u</p></b>", "p.k") == [["u"]]
@@ -72,7 +78,7 @@ def test_pages_that_cannot_match_are_still_rows(spark):
     assert rows(p.detail_fields(df).select("biography_url", "biography_birth_date", "biography_error"), "biography_url") == [
         ("a", "", None), ("b", "1900", None)]
     assert p.listing_cards(df).count() == 0
-    assert len(find_values('<p class="person&#73;tem">', [Rule("t", "")], ".personItem")) == 1
+    assert len(find_values('<p class="person&#73;tem">', Search([Rule("t", "")], ".personItem"))) == 1
 
 
 def test_many_large_pages_keep_their_rows(spark):
@@ -84,3 +90,21 @@ def test_many_large_pages_keep_their_rows(spark):
     got = extract(df, [Rule("n", "i"), Rule("b", "b")]).select("url", F.get("n", F.lit(0)).alias("n"), F.size("b").alias("b"))
     assert sorted((r.url, r.b) for r in got.filter("url = concat('u', n)").collect()) == sorted(
         (f"u{i}", 500) for i in range(40))
+
+
+def test_executors_need_no_copy_of_the_package():
+    """The Python step still runs when Python workers cannot import this package."""
+    script = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from vitarium.session import local_session\n"
+        "from vitarium.operators.pages import listing_cards\n"
+        "from vitarium.functions.urls import absolute_url\n"
+        "spark = local_session(2)\n"
+        "html = '<p class=personItem><b class=name><a href=/x>X</a></b>'\n"
+        "df = spark.createDataFrame([('https://h.test/', html)], 'url string, html string')\n"
+        "row = listing_cards(df).select('url', absolute_url('url', 'name').alias('two')).first()\n"
+        "assert tuple(row) == ('https://h.test/x', 'https://h.test/X'), row\n"
+    )
+    root = pathlib.Path(__file__).parent.parent
+    environment = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    subprocess.run([sys.executable, "-c", script, str(root)], cwd="/", env=environment, check=True, timeout=300)

@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -51,7 +50,6 @@ class Rule:
     resolve: bool = False
 
 
-@lru_cache(maxsize=256)
 def compile_selector(selector: str) -> list[list[list[tuple[str, str, str]]]]:
     """Comma union of descendant chains of simple tests ``(attribute, how, value)``."""
     chains = []
@@ -89,35 +87,46 @@ def _passes(node: dict[str, str], tests: list[tuple[str, str, str]]) -> bool:
     return True
 
 
-def _may_match(html: str, selectors: Sequence[str]) -> bool:
-    """False only if no selector can match: each of their chains tests a class, id or
-    attribute value that the page nowhere spells, not even by character number (or by
-    the one character name that stands for ASCII letters)."""
-    if "&#" in html or "&fjlig" in html:
-        return True
-    for selector in selectors:
-        for steps in compile_selector(selector):
-            values = [value for tests in steps for attr, _, value in tests if attr and value]
-            if all(value in html for value in values if value.isalnum()):
-                return True
-    return False
+class Search:
+    """Rules and scope with their selectors taken apart, once per job."""
 
-
-class _Finder(HTMLParser):
-    """One pass over a page: matches rules as tags open, gathers text until they close."""
-
-    def __init__(self, rules: Sequence[Rule], scope: str | None):
-        super().__init__(convert_charrefs=True)
-        self.fields = [rule.field for rule in rules]
+    def __init__(self, rules: Sequence[Rule], scope: str | None = None):
         by_selector: dict[str, list[Rule]] = {}
         for rule in rules:
             by_selector.setdefault(rule.selector, []).append(rule)
+        self.rules = list(rules)
         self.own_rules = by_selector.pop("", [])
-        self.rules = [(compile_selector(selector), group) for selector, group in by_selector.items()]
+        self.groups = [(compile_selector(selector), group) for selector, group in by_selector.items()]
         self.scope = compile_selector(scope) if scope else None
-        self.rows: list[dict[str, list]] = [] if scope else [{f: [] for f in self.fields}]
+        chains = self.scope or [steps for group, _ in self.groups for steps in group]
+        self.literals = [
+            [value for tests in steps for attr, _, value in tests if attr and value.isalnum()] for steps in chains]
+
+    def empty_row(self) -> dict[str, list]:
+        return {rule.field: [] for rule in self.rules}
+
+    def may_match(self, html: str) -> bool:
+        """False only if no selector can match: each of their chains tests a class, id or
+        attribute value that the page nowhere spells, not even by character number (or by
+        the one character name that stands for ASCII letters)."""
+        if "&#" in html or "&fjlig" in html:
+            return True
+        return any(all(value in html for value in values) for values in self.literals)
+
+
+class _Finder(HTMLParser):
+    """One pass over a page: matches rules as tags open, gathers text until they close.
+
+    The text of a node is all text below it, that of scripts and styles included."""
+
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "noscript", "iframe", "noembed", "noframes", "xmp")
+
+    def __init__(self, search: Search):
+        super().__init__(convert_charrefs=True)
+        self.search = search
+        self.rows: list[dict[str, list]] = [] if search.scope else [search.empty_row()]
         self.open: list[tuple[dict, list[list[str]], dict | None]] = []
-        self.scopes: list[dict[str, list]] = [] if scope else [self.rows[0]]
+        self.scopes: list[dict[str, list]] = [] if search.scope else [self.rows[0]]
 
     def _matches(self, chains, node) -> bool:
         for steps in chains:
@@ -156,14 +165,14 @@ class _Finder(HTMLParser):
             node.setdefault(name, value or "")
         node[""] = tag
         row = None
-        if self.scope and self._matches(self.scope, node):
-            row = {f: [] for f in self.fields}
+        if self.search.scope and self._matches(self.search.scope, node):
+            row = self.search.empty_row()
             self.rows.append(row)
         texts: list[list[str]] = []
         if row is not None:
-            self._take(node, self.own_rules, (row,), texts)
+            self._take(node, self.search.own_rules, (row,), texts)
         if self.scopes:
-            for chains, rules in self.rules:
+            for chains, rules in self.search.groups:
                 if self._matches(chains, node):
                     self._take(node, rules, self.scopes, texts)
         if tag not in VOID:
@@ -184,24 +193,21 @@ class _Finder(HTMLParser):
         del self.open[depth:]
 
     def handle_data(self, data):
-        if self.open and self.open[-1][0][""] in ("script", "style"):
-            return
         for _, texts, _ in self.open:
             if texts:
                 for text in texts:
                     text.append(data)
 
 
-def find_values(html: str, rules: Sequence[Rule], scope: str | None = None,
-                base: str | None = None) -> list[dict[str, list[str | None]]]:
+def find_values(html: str, search: Search, base: str | None = None) -> list[dict[str, list[str | None]]]:
     """Rows of one page: one per scope node, or a single one without a scope."""
-    if not _may_match(html, [scope] if scope else [rule.selector for rule in rules]):
-        return [] if scope else [{rule.field: [] for rule in rules}]
-    finder = _Finder(rules, scope)
+    if not search.may_match(html):
+        return [] if search.scope else [search.empty_row()]
+    finder = _Finder(search)
     finder.feed(html)
     finder.close()
     for row in finder.rows:
-        for rule in rules:
+        for rule in search.rules:
             values = ["".join(v) if isinstance(v, list) else v for v in row[rule.field]]
             if rule.resolve:
                 values = [resolve_url(base, v) if v else v for v in values]
@@ -233,6 +239,7 @@ def extract(pages: DataFrame, rules: Sequence[Rule], *, scope: str | None = None
         + [T.StructField("extract_error", T.StringType())]
     )
     strings = pa.list_(pa.string())
+    search = Search(rules, scope)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +259,7 @@ def extract(pages: DataFrame, rules: Sequence[Rule], *, scope: str | None = None
                 try:
                     if text is None:
                         raise ValueError("no html captured")
-                    found = find_values(text, rules, scope, bases[index].as_py() if bases is not None else None)
+                    found = find_values(text, search, bases[index].as_py() if bases is not None else None)
                     error = None
                 except Exception as problem:  # a bad page must not fail the job
                     found, error = [dict.fromkeys(fields)], str(problem) or type(problem).__name__

@@ -46,21 +46,27 @@ def occupation_model(seeds: DataFrame) -> DataFrame:
     return aliases.withColumn("alias", checked).drop("__raw").withColumn("alias_tokens", F.split("alias", " "))
 
 
-def score(text: Column | str, alias: Column | str, alias_tokens: Column | str) -> Column:
-    """Score of one normalised label against one normalised alias, rounded."""
-    text, alias, tokens = (F.col(c) if isinstance(c, str) else c for c in (text, alias, alias_tokens))
-    words = F.split(text, " ")
-    # words an alias repeats count each time
-    shared = F.size(F.filter(tokens, lambda word: F.array_contains(words, word)))
-    lengths = (F.length(text), F.length(alias))
+def score(pairs: DataFrame) -> DataFrame:
+    """Adds ``confidence``, the rounded score of label ``text`` against ``alias``, both normalised."""
+    lengths = (F.length("text"), F.length("alias"))
     contained = fixed.SCORE_CONTAINED_BASE + (fixed.SCORE_CONTAINED_SPAN * F.least(*lengths)) / F.greatest(*lengths)
-    return (
-        F.when(text == "", 0.0)
-        .when(text == alias, fixed.SCORE_EQUAL)
-        .when(F.contains(text, alias) | F.contains(alias, text), rounded(contained))
-        .when(shared > 0, rounded(_token_score(shared, F.size(tokens))))
+    # words an alias repeats count each time
+    shared = F.size(F.filter("alias_tokens", lambda word: F.array_contains("__words", word)))
+    raw = (
+        F.when(F.col("text") == "", 0.0)
+        .when(F.col("text") == F.col("alias"), fixed.SCORE_EQUAL)
+        .when(F.contains("text", "alias") | F.contains("alias", "text"), contained)
+        .when(F.col("__shared") > 0, _token_score(F.col("__shared"), F.size("alias_tokens")))
         .otherwise(0.0)
     )
+    # one step per column, so that what is used more than once is computed once
+    return (
+        pairs.withColumn("__words", F.split("text", " "))
+        .withColumn("__shared", shared)
+        .withColumn("__raw", raw)
+        .withColumn("confidence", rounded(F.col("__raw")))
+        .drop("__words", "__shared", "__raw")
+    )
 
 
 def rounded(value: Column) -> Column:
@@ -146,10 +152,11 @@ def match_labels(labels: DataFrame, model: DataFrame, *, min_confidence: float =
     else:
         candidates = lookup_join(probes, anchors, "anchor", how="inner", spread_by=["text"], hot_rows=hot_rows)
     return (
-        candidates.withColumn("confidence", score("text", "alias", "alias_tokens"))
-        .filter(F.col("confidence") >= min_confidence)
+        score(candidates)
         .groupBy(*labels.columns, "seed_pos", "qid", "label")
         .agg(F.max("confidence").alias("confidence"))
+        # after the aggregation, because before it the filter would score every pair twice
+        .filter(F.col("confidence") >= min_confidence)
         .groupBy(*labels.columns, "qid")
         .agg(
             F.min("seed_pos").alias("seed_pos"),
