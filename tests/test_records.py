@@ -119,3 +119,26 @@ def test_hot_rows_are_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(sizes) == 20_000 and len(sizes) > 4 and max(sizes) < 10_000
+
+
+def test_plans_shuffle_little_and_stay_in_the_engine(spark):
+    """One shuffle per keyed operator, after a combine per task; no Python, no cross join."""
+    df = table(spark, random_log(1)).repartition(3).selectExpr("*")
+    known = table(spark, random_log(2))
+
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    for frame in (r.merge_records(df, seq="seq"), r.compact_latest(df, seq="seq"), r.detail_frontier(df, seq="seq")):
+        text = plan(frame)
+        assert text.count("Exchange hashpartitioning") == 1 and text.index("Exchange hash") < text.index("partial_")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        anti = plan(r.new_records_only(df, known, seq="seq"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the batch once and the known keys once: the anti-join adds no shuffle of its own
+    assert anti.count("Exchange hashpartitioning") == 2
+    for text in (anti, plan(r.enrich(df, known.withColumnRenamed("url", "biography_url"))), plan(r.log_progress(df))):
+        for name in ("Python", "MapIn", "Cartesian", "NestedLoop"):
+            assert name not in text
