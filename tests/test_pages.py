@@ -5,7 +5,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from tests.site import BASE, card, detail, listing, pages
+from tests.site import BASE, card, detail, pages
 from vitarium.operators import pages as p
 from vitarium.operators.extract import Rule, Search, extract, find_values
 

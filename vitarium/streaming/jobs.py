@@ -36,6 +36,7 @@ def _begun(spark: SparkSession, checkpoint: str) -> bool:
 
 def _start(pages: DataFrame, append, log_path: str, stage: int, checkpoint: str, run_id: int) -> StreamingQuery:
     spark, first = pages.sparkSession, run_id * RUN_SPAN
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     if not _begun(spark, checkpoint):
         used = scan_log(spark, log_path).filter(
             (F.col("stage") == stage) & F.col("batch_id").between(first, first + RUN_SPAN - 1))
@@ -43,6 +44,9 @@ def _start(pages: DataFrame, append, log_path: str, stage: int, checkpoint: str,
             raise ValueError(f"run_id {run_id} is used in this log: a new checkpoint folder needs a higher one")
 
     def batch(df: DataFrame, epoch: int) -> None:
+        # The session of a stream plans without adaptive execution.  A micro-batch is plain
+        # batch work and wants its partition sizes and joins chosen at run time.
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", adaptive)
         append(df.sparkSession, df, log_path, batch_id=first + epoch)
 
     return (
