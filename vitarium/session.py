@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
 
@@ -23,14 +24,28 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="vitarium-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 
-    The folder must be reachable by every executor, so it is taken from the
-    session; only a session that names none (a local test) gets a local folder.
+    The folder must be reachable by every executor, so it is taken from the session.
+    Only a session that runs in one process (``local[...]``) may do without.
     """
     root = spark.conf.get(SCRATCH_SETTING, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="vitarium-")
-        spark.conf.set(SCRATCH_SETTING, root)
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"{SCRATCH_SETTING} must name a folder that all executors share")
+        root = _local_scratch()
     return f"{root.rstrip('/')}/vitarium/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: no lineage, no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
