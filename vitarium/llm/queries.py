@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitarium.llm import quality, sharding
+from vitarium.llm import quality, secrets, sharding, simhash
 
 Spark = SparkSession
 
@@ -17,9 +18,20 @@ def op1_quality(spark: Spark, sf: str) -> DataFrame:
     return quality.quality(_table(spark, sf, "documents"))
 
 
+def op5_secrets(spark: Spark, sf: str) -> DataFrame:
+    base = secrets.spans_text(F.col("spans"), secrets.BASE)
+    return secrets.scan(_table(spark, sf, "documents")).select(
+        "doc_id", *(secrets.kind_count(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.BASE),
+        F.sha2(base, 256).alias("base_sha256"), secrets.spans_text(F.col("spans"), secrets.KINDS).alias("spans"))
+
+
 def op7_sharding(spark: Spark, sf: str) -> DataFrame:
     return sharding.shard(_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op7_sharding)}
+def op8_simhash(spark: Spark, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op5_secrets, op7_sharding, op8_simhash)}
 ORACLES: dict[str, str] = {}
