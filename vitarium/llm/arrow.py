@@ -44,8 +44,8 @@ def map_texts(df: DataFrame, keep: list[str], text: str, fields: list[tuple[str,
     ``step`` gets an Arrow array and returns one array per field.  Columns are handed over
     by place, so names may be anything.
     """
-    source = df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("__text"))
-    new = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields]
+    source = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("text"))
+    new = [T.StructField(f"f{i}", T._parse_datatype_string(kind)) for i, (_, kind) in enumerate(fields)]
     schema = T.StructType(source.schema.fields[:-1] + new)
     types = [_arrow(f.dataType) for f in new]
     names = schema.names
@@ -57,7 +57,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str, fields: list[tuple[str,
                         for x, t in zip(step(part.column(part.num_columns - 1)), types)]
                 yield pa.RecordBatch.from_arrays(part.columns[:-1] + made, names=names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*keep, *(name for name, _ in fields))
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitarium.llm import quality, secrets, sharding, simhash
+from vitarium.llm import langid, quality, secrets, sharding, simhash
 
 Spark = SparkSession
 
@@ -33,5 +33,10 @@ def op8_simhash(spark: Spark, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op5_secrets, op7_sharding, op8_simhash)}
+def op10_langid(spark: Spark, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return langid.predict(documents, langid.fit(documents))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op5_secrets, op7_sharding, op8_simhash, op10_langid)}
 ORACLES: dict[str, str] = {}
