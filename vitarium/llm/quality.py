@@ -88,6 +88,12 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def _barrier() -> Column:
+    """Always true.  Catalyst moves no filter below a column that uses it; a filter moved down would
+    repeat the whole chain of array expressions for each of its uses."""
+    return F.monotonically_increasing_id() >= 0
+
+
 def _with_measures(df: DataFrame, text: str, prefix: str) -> DataFrame:
     """``df`` with the measures, each named with ``prefix``; steps follow one another so
     that none is worked out again for each use."""
@@ -102,7 +108,7 @@ def _with_measures(df: DataFrame, text: str, prefix: str) -> DataFrame:
     add("bits", F.length(F.bin(own("n_words").cast("long"))))
     add("windows", F.when(own("n_words") >= WINDOW, _windows(own("words"), own("n_words"), own("bits"))).otherwise(
         F.array().cast("array<bigint>")))
-    add("places", _repeated(own("words"), own("windows"), own("bits")))
+    add("places", F.when(_barrier(), _repeated(own("words"), own("windows"), own("bits"))))
     lines = F.filter(F.split(value, "\n"), lambda line: line.rlike(f"[^{WHITE}]"))
     add("lines", lines)
     add("n_lines", F.size(own("lines")).cast("long"))
@@ -150,4 +156,5 @@ def quality(df: DataFrame, id_column: str = "doc_id", text: str = "text", rules=
 def passes(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows that every rule accepts, with the columns they came with."""
     measured = _with_measures(df, text, "__q_")
-    return measured.filter(_verdict("__q_", rules)[1]).select(*(f"`{c}`" for c in df.columns))
+    judged = measured.select(*(f"`{c}`" for c in df.columns), (_verdict("__q_", rules)[1] & _barrier()).alias("__q_kept"))
+    return judged.filter("__q_kept").drop("__q_kept")

@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitarium.llm import langid, quality, secrets, sharding, simhash
+import corpus_pipeline
+import public_tokenizers
+
+from vitarium.llm import langid, packing, quality, secrets, sharding, simhash
 
 Spark = SparkSession
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def _table(spark: Spark, sf: str, name: str) -> DataFrame:
@@ -18,6 +23,10 @@ def op1_quality(spark: Spark, sf: str) -> DataFrame:
     return quality.quality(_table(spark, sf, "documents"))
 
 
+def op4_packing(spark: Spark, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path(WORD_BPE)).drop("ids")
+
+
 def op5_secrets(spark: Spark, sf: str) -> DataFrame:
     base = secrets.spans_text(F.col("spans"), secrets.BASE)
     return secrets.scan(_table(spark, sf, "documents")).select(
@@ -38,5 +47,9 @@ def op10_langid(spark: Spark, sf: str) -> DataFrame:
     return langid.predict(documents, langid.fit(documents))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op5_secrets, op7_sharding, op8_simhash, op10_langid)}
+def pipeline(spark: Spark, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op4_packing, op5_secrets, op7_sharding, op8_simhash, op10_langid, pipeline)}
 ORACLES: dict[str, str] = {}

@@ -90,7 +90,7 @@ class BpeEncoder:
         self.last_ids = column(vocab[x + suffix] for x in letters).astype(np.int32)
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.tokens = {i: t for t, i in self.library.get_vocab(with_added_tokens=True).items()}
-        self.dtype = np.dtype("<u2" if max(self.tokens) < 1 << 16 else "<u4")
+        self.dtype = _dtype(self.tokens)
         self.kind = np.full(256, OTHER, np.int8)
         self.kind[33:127] = MARK
         self.kind[ord("'")] = OTHER  # contractions
@@ -246,6 +246,17 @@ class BpeEncoder:
         return out[where], where
 
 
+def _dtype(ids) -> np.dtype:
+    return np.dtype("<u2" if max(ids) < 1 << 16 else "<u4")
+
+
+def id_dtype(path: str) -> np.dtype:
+    """The type ids of a vocabulary file are stored in."""
+    from tokenizers import Tokenizer
+
+    return _dtype(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
+
+
 def encoder(path: str) -> BpeEncoder:
     """The worker's encoder for a vocabulary file."""
     cache = worker_cache()
