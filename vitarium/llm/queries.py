@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 
-from vitarium.llm import langid, packing, quality, secrets, sharding, simhash
+from vitarium.session import scratch_path
+from vitarium.llm import idfiles, langid, packing, quality, secrets, sharding, simhash
 
 Spark = SparkSession
 WORD_BPE = "word_bpe_49k.json"
@@ -34,6 +35,12 @@ def op5_secrets(spark: Spark, sf: str) -> DataFrame:
         F.sha2(base, 256).alias("base_sha256"), secrets.spans_text(F.col("spans"), secrets.KINDS).alias("spans"))
 
 
+def op6_idfiles(spark: Spark, sf: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    idfiles.write_ids(_table(spark, sf, "documents"), path, public_tokenizers.path(BYTE_BPE), end_id=2)
+    return idfiles.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_sharding(spark: Spark, sf: str) -> DataFrame:
     return sharding.shard(_table(spark, sf, "documents"))
 
@@ -51,5 +58,5 @@ def pipeline(spark: Spark, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_packing, op5_secrets, op7_sharding, op8_simhash, op10_langid, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op10_langid, pipeline)}
 ORACLES: dict[str, str] = {}
