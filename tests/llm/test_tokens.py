@@ -6,6 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm import corpus
+from vitarium.llm import tokens
 from vitarium.llm.tokens import BpeEncoder
 
 HARD = ["", "  a  b ", "a\n b", "a \nb", "a\n\nb c\n", "x<|endoftext|> y", "foo\n <|endoftext|> bar", "don't DON'T we'll 're",
@@ -14,7 +15,9 @@ HARD = ["", "  a  b ", "a\n b", "a \nb", "a\n\nb c\n", "x<|endoftext|> y", "foo\
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_ids_equal_the_library(name):
+@pytest.mark.parametrize("chars", [5, 1 << 21])
+def test_ids_equal_the_library(name, chars, monkeypatch):
+    monkeypatch.setattr(tokens, "GROUP_CHARS", chars)
     path = public_tokenizers.path(name)
     rng = random.Random(1)
     letters = "ab'’ \n\té1.,-!<|>Ǆ́𝒳"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows are handed to a step in slices of about this much text.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def flat_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -16,7 +16,9 @@ import types
 import numpy as np
 
 #: Distinct words kept per worker; beyond it the memory is emptied and filled anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
+#: Texts are worked on in groups of about this many characters, longer ones in pieces.
+GROUP_CHARS = 1 << 21
 NO_MERGE = np.int32(2**31 - 1)
 
 OTHER, LETTER, DIGIT, MARK, BREAK, LEAD = range(6)
@@ -35,6 +37,18 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
+def _pieces(text: str):
+    """(whether it is the first, piece) of a text cut at single spaces."""
+    at = 0
+    while len(text) - at > GROUP_CHARS:
+        to = text.find(" ", at + GROUP_CHARS)
+        if to < 0:
+            break
+        yield at == 0, text[at:to]
+        at = to + 1
+    yield at == 0, text[at:]
+
+
 class PairTable:
     """Merge rank and merged id of pairs of ids; looked up for whole arrays."""
 
@@ -110,25 +124,36 @@ class BpeEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Whole texts; the same ids as the library's without special tokens added."""
-        split = [t.split(" ") for t in texts]
-        self._learn(split)
-        out: list[bytes | None] = []
+        parts: list[list[bytes] | None] = [None if any(s in t for s in self.specials) else [] for t in texts]
+        group: list[tuple[int, bool, list[str]]] = []
+        size = 0
+        for row, text in enumerate(texts):
+            if parts[row] is None:
+                continue
+            for first, piece in _pieces(text):
+                group.append((row, first, piece.split(" ")))
+                size += len(piece)
+                if size >= GROUP_CHARS:
+                    self._encode_group(group, parts)
+                    group, size = [], 0
+        self._encode_group(group, parts)
+        rest = [i for i, ids in enumerate(parts) if ids is None]
+        whole = dict(zip(rest, self.by_library([texts[i] for i in rest])))
+        return [whole[i] if ids is None else b"".join(ids) for i, ids in enumerate(parts)]
+
+    def _encode_group(self, group, parts) -> None:
+        self._learn([words for _, _, words in group])
         get = self.memo.__getitem__
-        for text, words in zip(texts, split):
-            if any(s in text for s in self.specials):
-                out.append(None)
+        for row, first, words in group:
+            if parts[row] is None:
                 continue
             try:
-                if self.spaced:
-                    out.append(self.by_library(words[:1])[0] + b"".join(map(get, words[1:])))
+                if first and self.spaced:
+                    parts[row] += [*self.by_library(words[:1]), b"".join(map(get, words[1:]))]
                 else:
-                    out.append(b"".join(map(get, words)))
+                    parts[row].append(b"".join(map(get, words)))
             except TypeError:  # a word whose ids depend on what stands beside it
-                out.append(None)
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(rest, self.by_library([texts[i] for i in rest])):
-            out[i] = ids
-        return out
+                parts[row] = None
 
     def _learn(self, split: list[list[str]]) -> None:
         wanted = set().union(*split)
