@@ -9,7 +9,7 @@ import corpus_pipeline
 import public_tokenizers
 
 from vitarium.session import scratch_path
-from vitarium.llm import idfiles, langid, packing, quality, secrets, sharding, simhash
+from vitarium.llm import bpe, idfiles, langid, packing, quality, secrets, sharding, simhash
 
 Spark = SparkSession
 WORD_BPE = "word_bpe_49k.json"
@@ -24,6 +24,15 @@ def op1_quality(spark: Spark, sf: str) -> DataFrame:
     return quality.quality(_table(spark, sf, "documents"))
 
 
+def op2_bpe(spark: Spark, sf: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    both = bpe.decode(bpe.encode(_table(spark, sf, "documents"), path), path)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_packing(spark: Spark, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path(WORD_BPE)).drop("ids")
 
@@ -58,5 +67,5 @@ def pipeline(spark: Spark, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op10_langid, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op10_langid, pipeline)}
 ORACLES: dict[str, str] = {}
