@@ -9,7 +9,7 @@ import corpus_pipeline
 import public_tokenizers
 
 from vitarium.session import scratch_path
-from vitarium.llm import bpe, idfiles, langid, packing, quality, secrets, sharding, simhash
+from vitarium.llm import bpe, idfiles, langid, neargraph, packing, quality, secrets, sharding, simhash
 
 Spark = SparkSession
 WORD_BPE = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op2_bpe(spark: Spark, sf: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_neargraph(spark: Spark, sf: str) -> DataFrame:
+    return neargraph.near_duplicates(_table(spark, sf, "embeddings"))
+
+
 def op4_packing(spark: Spark, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path(WORD_BPE)).drop("ids")
 
@@ -67,5 +71,5 @@ def pipeline(spark: Spark, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op10_langid, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op3_neargraph, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op10_langid, pipeline)}
 ORACLES: dict[str, str] = {}
