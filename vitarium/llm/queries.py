@@ -9,7 +9,7 @@ import corpus_pipeline
 import public_tokenizers
 
 from vitarium.session import scratch_path
-from vitarium.llm import bpe, idfiles, langid, neargraph, packing, quality, secrets, sharding, simhash
+from vitarium.llm import bpe, idfiles, langid, mainpage, neargraph, packing, quality, secrets, sharding, simhash
 
 Spark = SparkSession
 WORD_BPE = "word_bpe_49k.json"
@@ -62,6 +62,10 @@ def op8_simhash(spark: Spark, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op9_mainpage(spark: Spark, sf: str) -> DataFrame:
+    return mainpage.extract(_table(spark, sf, "pages"))
+
+
 def op10_langid(spark: Spark, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     return langid.predict(documents, langid.fit(documents))
@@ -71,5 +75,5 @@ def pipeline(spark: Spark, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op3_neargraph, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op10_langid, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op3_neargraph, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op9_mainpage, op10_langid, pipeline)}
 ORACLES: dict[str, str] = {}
