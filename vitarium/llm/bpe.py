@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from vitarium.llm.arrow import flat_texts, map_texts
@@ -29,7 +31,9 @@ WINDOW = 16
 #: A chunk ends where this many low bits of the hash are zero: 1 KB on average.
 CUT_BITS = 10
 #: Bytes of chunks kept per worker; beyond it they are forgotten and encoded anew if met again.
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 8 << 20
+#: Tokens decoded at a time.
+DECODED_AT_ONCE = 1 << 19
 #: Bytes hashed at a time.
 PIECE = 1 << 22
 
@@ -153,19 +157,42 @@ def encode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
     return map_texts(dealt, ["id"], "text", [("ids", "array<int>")], step).toDF(id_column, "ids")
 
 
+def _names(tokenizer: str):
+    """The tokens by id if the vocabulary has no decoder, which means they are joined by spaces; else the library."""
+    from tokenizers import Tokenizer
+
+    cache = worker_cache()
+    if ("tokens", tokenizer) not in cache:
+        library = Tokenizer.from_file(tokenizer)
+        tokens = library.get_vocab(with_added_tokens=True)
+        names = np.full(max(tokens.values()) + 1, "", object)
+        names[list(tokens.values())] = list(tokens)
+        cache["tokens", tokenizer] = names if library.decoder is None else library
+    return cache["tokens", tokenizer]
+
+
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``df`` with the text its ids stand for, special tokens included; null ids are no ids."""
-    def text_of(column: pa.Array) -> pa.Array:
-        codec = encoder(tokenizer)
-        if codec.library.decoder is not None:
-            return pa.array(codec.library.decode_batch([x or [] for x in column.to_pylist()], skip_special_tokens=False))
-        cache = worker_cache()
-        if ("tokens", tokenizer) not in cache:  # without a decoder tokens are joined by spaces
-            names = np.full(max(codec.tokens) + 1, "", object)
-            names[list(codec.tokens)] = list(codec.tokens.values())
-            cache["tokens", tokenizer] = names
-        names = cache["tokens", tokenizer]
-        return pa.array([" ".join(names[x.values.to_numpy(zero_copy_only=False)]) if x.is_valid else "" for x in column],
-                        pa.string())
-
-    return df.withColumn(name, arrow_udf(text_of, "string")(F.col(f"`{ids}`")))
+    source = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)))
+    column = df.columns.index(ids)
+    schema = T.StructType([*source.schema.fields, T.StructField("text", T.StringType())])
+
+    def texts(part: pa.Array) -> list[str]:
+        names = _names(tokenizer)
+        if not isinstance(names, np.ndarray):
+            return names.decode_batch([x or [] for x in part.to_pylist()], skip_special_tokens=False)
+        return [" ".join(names[x.values.to_numpy(zero_copy_only=False)]) if x.is_valid else "" for x in part]
+
+    def run(batches):
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                before = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, before + DECODED_AT_ONCE, "right")))
+                part = batch.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts(part.column(column)), pa.string())],
+                                                 names=schema.names)
+                at = to
+
+    return source.mapInArrow(run, schema).toDF(*df.columns, name)
