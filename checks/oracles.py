@@ -240,6 +240,15 @@ ORACLES = {
         FROM stated WHERE item_qid <> '' AND reference_url <> ''""",
     "link_documents": f"""WITH {built_in_model()}, {linking('documents', 'doc_id', 'text', 0.6)}
         SELECT * FROM suggestions""",
+    "write_statements": f"""WITH {STATED} SELECT {', '.join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}"
+        for c in fixed.STATEMENT_COLUMNS)} FROM stated""",
+    "write_quickstatements": f"""WITH {STATED} SELECT concat_ws(chr(9), item_qid, 'P106', occupation_qid, 'S854',
+            '"' || replace(reference_url, '"', '%22') || '"', 'S813', '+2026-06-23T00:00:00Z/11') AS line
+        FROM stated WHERE item_qid <> '' AND reference_url <> ''""",
+    "csv_to_statements": f"WITH {STATED} SELECT {', '.join(fixed.STATEMENT_COLUMNS)} FROM stated",
+    "read_pages": "SELECT page_id, url, length(html) AS n FROM pages",
+    "csv_two_headers": """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS activity FROM customer
+        UNION ALL SELECT 's' || s_suppkey, s_name, '' FROM supplier""",
     "csv_roundtrip": """SELECT CAST(doc_id AS VARCHAR) AS id, text AS name, '' AS dates, ' "' || lang || ', " ' AS activity
         FROM documents""",
     "union_align": """SELECT CAST(NULL AS VARCHAR) AS url, c_name AS name, c_mktsegment AS activity, c_acctbal AS balance,
@@ -262,8 +271,19 @@ ORACLES = {
         FROM people JOIN answered ON url = biography_url""",
     "compact_job": f"""WITH {PEOPLE}, {ANSWERED} SELECT record_key, url, biography_text, biography_error
         FROM people LEFT JOIN answered ON url = biography_url""",
-    "extend_log": f"""WITH {PEOPLE} SELECT count(*) AS scraped, CAST(0 AS BIGINT) AS skipped, count(*) AS total_seen,
-        count(*) AS records_saved FROM people""",
+    "extend_log": f"""WITH {PEOPLE}, {ANSWERED} SELECT
+        (SELECT count(*) FROM people SEMI JOIN answered ON url = biography_url) AS scraped, CAST(0 AS BIGINT) AS skipped,
+        count(*) AS total_seen, count(*) AS records_saved FROM people""",
+    "extend_log_without_details": f"""WITH {PEOPLE}, {ANSWERED} SELECT CAST(0 AS BIGINT) AS scraped,
+        (SELECT count(*) FROM people SEMI JOIN (SELECT * FROM answered
+            WHERE coalesce(biography_text, '') <> '' OR coalesce(biography_error, '') <> '') ON url = biography_url) AS skipped,
+        count(*) AS total_seen, count(*) AS records_saved FROM people""",
+    "extend_log_rerun": f"""WITH {PEOPLE}, {ANSWERED}
+        SELECT record_key, url, 0 AS stage, NULL AS biography_text FROM people UNION ALL
+        SELECT record_key, url, 1, biography_text FROM people JOIN answered ON url = biography_url""",
+    "listing_errors": f"""WITH p AS ({st.for_duckdb(st.LISTING_PAGES)})
+        SELECT url, page_seq, CASE WHEN initial = 'es' THEN 'HTTP 500 for ' || url ELSE 'no html captured' END AS error
+        FROM p WHERE initial IN ('es', 'fr')""",
     "missing_listing_pages": """WITH t AS (SELECT lang, max(greatest(doc_id + 1, 7)) AS total FROM documents GROUP BY lang),
             wanted AS (SELECT lang, unnest(range(1, total + 1)) AS page_no FROM t)
         SELECT lang AS index_url, page_no FROM wanted w

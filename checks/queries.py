@@ -16,6 +16,8 @@ from vitarium.plans import catalogue, linking
 from vitarium.schema import DETAIL_STAGE, LISTING_STAGE, LOG_ORDER, PAGES
 from vitarium.session import scratch_path
 from vitarium.sources import csv_files, log
+from vitarium.sources import pages as page_tables
+from vitarium.sources import statements as statement_files
 from vitarium.sources.pages import stream_pages
 from vitarium.streaming import jobs
 
@@ -237,9 +239,47 @@ def csv_roundtrip(spark: Spark, sf: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("name"), F.lit(None).cast("string").alias("dates"),
         F.concat(F.lit(' "'), "lang", F.lit(', " ')).alias("activity"))
     csv_files.write_records(documents, path)
+    return csv_files.read_records(spark, path, multi_line=True)
+
+
+def csv_two_headers(spark: Spark, sf: str) -> DataFrame:
+    """Two files whose columns differ in order and number."""
+    path = scratch_path(spark, "csv")
+    customers = st.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("activity"))
+    suppliers = st.table(spark, sf, "supplier").select(
+        F.col("s_name").alias("name"), F.concat(F.lit("s"), "s_suppkey").alias("id"))
+    csv_files.write_records(customers, f"{path}/part=a")
+    csv_files.write_records(suppliers, f"{path}/part=b")
+    return csv_files.read_records(spark, path).select("id", "name", "activity")
+
+
+def write_statements(spark: Spark, sf: str) -> DataFrame:
+    path = scratch_path(spark, "statements")
+    statement_files.write_statements(statements(spark, sf), path, record_id="id")
     return csv_files.read_records(spark, path)
 
 
+def write_quickstatements(spark: Spark, sf: str) -> DataFrame:
+    path = scratch_path(spark, "quickstatements")
+    statement_files.write_quickstatements(statements(spark, sf), path, record_id="id", retrieved=F.lit(RETRIEVED))
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def csv_to_statements(spark: Spark, sf: str) -> DataFrame:
+    """Records in a CSV file to statements, rows told apart by where they stand."""
+    path = scratch_path(spark, "records")
+    records_in = st.standin(spark, sf, st.LINKABLE)
+    csv_files.write_records(records_in.select(*(F.col(c).cast("string").alias(c) for c in records_in.columns)), path)
+    read = csv_files.read_records(spark, path, position=True)
+    found = linking.link_occupations(read, record_id=["file_path", "file_block", "row_no"], seeds=st.standin(spark, sf, st.SEEDS))
+    return occupations.statement_columns(found)
+
+
+def read_pages(spark: Spark, sf: str) -> DataFrame:
+    return page_tables.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", F.length("html").alias("n"))
+
+
 def union_align(spark: Spark, sf: str) -> DataFrame:
     customers = st.table(spark, sf, "customer").select(
         F.col("c_acctbal").alias("balance"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("activity"))
@@ -329,6 +369,30 @@ def extend_log(spark: Spark, sf: str) -> DataFrame:
         spark, st.standin(spark, sf, st.LISTING_PAGES), st.standin(spark, sf, st.DETAIL_PAGES), path, batch_id=0)
 
 
+def extend_log_without_details(spark: Spark, sf: str) -> DataFrame:
+    """A run after one with details, itself without."""
+    path, lists = scratch_path(spark, "log"), st.standin(spark, sf, st.LISTING_PAGES)
+    catalogue.extend_log(spark, lists, st.standin(spark, sf, st.DETAIL_PAGES), path, batch_id=0)
+    return catalogue.extend_log(spark, lists, None, path, batch_id=1)
+
+
+def extend_log_rerun(spark: Spark, sf: str) -> DataFrame:
+    """The log after one batch was run twice."""
+    path, lists = scratch_path(spark, "log"), st.standin(spark, sf, st.LISTING_PAGES)
+    details = st.standin(spark, sf, st.DETAIL_PAGES)
+    for _ in range(2):
+        catalogue.extend_log(spark, lists, details, path, batch_id=0)
+    return log.scan_log(spark, path).select("record_key", "url", "stage", "biography_text")
+
+
+def listing_errors(spark: Spark, sf: str) -> DataFrame:
+    """Pages of one language answered with an error, those of another without HTML."""
+    lists = st.standin(spark, sf, st.LISTING_PAGES)
+    broken = lists.withColumn("status", F.when(F.col("initial") == "es", 500).otherwise(F.col("status"))).withColumn(
+        "html", F.when(F.col("initial") != "fr", F.col("html")))
+    return catalogue.listing_errors(broken)
+
+
 def missing_listing_pages(spark: Spark, sf: str) -> DataFrame:
     progress = catalogue.listing_progress(st.standin(spark, sf, st.LISTING_PAGES), index_url="initial")
     return catalogue.missing_listing_pages(progress)
@@ -370,8 +434,10 @@ QUERIES = {
         pager_links, merge_records, compact_latest, new_records_only, log_progress, detail_frontier, enrich,
         capture_errors, enrich_stats, fold_listing_state, listing_events, resume_points, pages_ahead, page_gaps,
         crawl_totals, taxonomy_model, score_pairs, suggest, top_suggestion, statements, statement_columns,
-        quickstatements, link_documents, csv_roundtrip, union_align, append_then_compact, load_existing,
+        quickstatements, link_documents, write_statements, write_quickstatements, csv_to_statements, read_pages,
+        csv_roundtrip, csv_two_headers, union_align, append_then_compact, load_existing,
         log_snapshot, save_snapshot, build_catalogue, ingest_stream, enrich_stream, compact_job, extend_log,
+        extend_log_without_details, extend_log_rerun, listing_errors,
         missing_listing_pages, listing_state,
         stream_dedupe, stream_state,
     ]

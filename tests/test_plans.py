@@ -11,16 +11,16 @@ from vitarium.sources.log import scan_log
 from vitarium.sources.pages import stream_pages
 from vitarium.streaming import jobs
 
-ALA = detail("Ala", "Nowak", "1901-01-01", "1981-01-01", ["pisarka", "poetka"], "Ala opis.")
-ADAM = detail("Adam", "Kowal", "1910-01-01", "1990-01-01", ["muzyk"], "Adam opis.")
+UNA = detail("Una", "Brook", "spring 1655", "1701", ["weaver", "dyer"], "Una wove.")
+EZRA = detail("Ezra", "Field", "1660", "", ["piper"], "Ezra piped.")
 HOST = "https://site.test"
 
 
 def two_pages(spark):
     lists = pages(spark, [
-        (BASE, listing([("1", None), ("2", "p2")], [card("/a/biografia/ala", "Ala", activities=["pisarka"])])),
-        (BASE, listing([("2", None)], [card("/a/biografia/adam", "Adam"), card("/a/biografia/ala", "Ala again")]))])
-    details = pages(spark, [(f"{HOST}/a/biografia/ala", ALA), (f"{HOST}/a/biografia/adam", ADAM)])
+        (BASE, listing([("1", None), ("2", "p2")], [card("/p/una", "Una", activities=["weaver"])])),
+        (BASE, listing([("2", None)], [card("/p/ezra", "Ezra"), card("/p/una", "Una once more")]))])
+    details = pages(spark, [(f"{HOST}/p/una", UNA), (f"{HOST}/p/ezra", EZRA)])
     return lists, details
 
 
@@ -28,7 +28,7 @@ def test_build_catalogue(spark):
     lists, details = two_pages(spark)
     got = c.build_catalogue(lists, details).orderBy("first_seq").collect()
     assert [(g.name, g.biography_name, g.biography_activities, g.biography_text) for g in got] == [
-        ("Ala again", "Ala Nowak", "pisarka | poetka", "Ala opis."), ("Adam", "Adam Kowal", "muzyk", "Adam opis.")]
+        ("Una once more", "Una Brook", "weaver | dyer", "Una wove."), ("Ezra", "Ezra Field", "piper", "Ezra piped.")]
     assert c.build_catalogue(lists, None).count() == 2
     totals = c.listing_totals(lists).first()
     assert tuple(totals) == (2, 2)
@@ -43,12 +43,12 @@ def existing(spark, *rows):
 
 def test_existing_details_are_kept_and_missing_ones_filled(spark):
     lists, details = two_pages(spark)
-    old = existing(spark, (f"{HOST}/a/biografia/ala", "Ala existing", "Already saved."),
-                   (f"{HOST}/a/biografia/adam", "Adam existing", None))
+    old = existing(spark, (f"{HOST}/p/una", "Una of old", "Known before."),
+                   (f"{HOST}/p/ezra", "Ezra of old", None))
     got = {g.url[-4:]: g for g in c.build_catalogue(lists, details, existing=old).collect()}
     assert len(got) == 2
-    assert (got["/ala"].name, got["/ala"].biography_text, got["/ala"].biography_name) == ("Ala existing", "Already saved.", None)
-    assert (got["adam"].name, got["adam"].biography_text) == ("Adam", "Adam opis.")
+    assert (got["/una"].name, got["/una"].biography_text, got["/una"].biography_name) == ("Una of old", "Known before.", None)
+    assert (got["ezra"].name, got["ezra"].biography_text) == ("Ezra", "Ezra piped.")
 
 
 def test_log_run(spark, scratch):
@@ -59,31 +59,63 @@ def test_log_run(spark, scratch):
     rows = scan_log(spark, path)
     assert tuple(log_progress(rows).first()) == (2, 2, 4)
     # listing rows stand before any details, and the first listing of a person counts
-    assert sorted(g.name for g in rows.filter(F.col("stage") == LISTING_STAGE).collect()) == ["Adam", "Ala"]
+    assert sorted(g.name for g in rows.filter(F.col("stage") == LISTING_STAGE).collect()) == ["Ezra", "Una"]
     snapshot = scratch("snapshot")
     c.compact_job(spark, path, snapshot)
     got = spark.read.parquet(snapshot).orderBy("first_seq").collect()
-    assert [(g.name, g.biography_text) for g in got] == [("Ala", "Ala opis."), ("Adam", "Adam opis.")]
+    assert [(g.name, g.biography_text) for g in got] == [("Una", "Una wove."), ("Ezra", "Ezra piped.")]
     # a second run finds nothing new
     assert tuple(c.extend_log(spark, lists, details, path, batch_id=1).first()) == (0, 2, 2, 2)
     assert scan_log(spark, path).count() == 4
 
 
+def test_a_run_repeated_or_replayed_in_any_order_leaves_the_same_log(spark, scratch):
+    lists, details = two_pages(spark)
+    urls = [r.url for r in listing_cards(lists).select("url").distinct().collect()]
+    first, second = details.filter(F.col("url") == urls[0]), details
+
+    def rows(path):
+        return sorted(tuple(r) for r in scan_log(spark, path).select(
+            "stage", "batch_id", "record_key", F.coalesce("biography_text", F.lit(""))).collect())
+
+    path = scratch("log")
+    c.extend_log(spark, lists, first, path, batch_id=0)
+    once = rows(path)
+    assert tuple(c.extend_log(spark, lists, first, path, batch_id=0).first()) == (1, 0, 2, 2)
+    assert rows(path) == once
+    c.extend_log(spark, lists, second, path, batch_id=1)
+    both = rows(path)
+    assert len(both) == 4
+    steps = [lambda: c.append_listing(spark, lists, path, batch_id=0), lambda: c.append_details(spark, first, path, batch_id=0),
+             lambda: c.append_details(spark, second, path, batch_id=1)]
+    for step in (*steps, *steps[::-1]):
+        step()
+        assert rows(path) == both
+    assert tuple(c.extend_log(spark, lists, None, path, batch_id=2).first()) == (0, 2, 2, 2)
+
+
+def test_unreadable_listing_pages_are_told(spark):
+    df = pages(spark, [(BASE, None), (BASE, listing([], [card("/p/1", "One")])), (BASE, "gone", 404)])
+    errors = {r.page_seq: r.error for r in c.listing_errors(df).collect()}
+    assert errors == {0: "no html captured", 2: f"HTTP 404 for {BASE}"}
+    assert listing_cards(df.filter("page_seq = 1")).count() == 1
+
+
 def test_failed_pages_become_error_rows(spark, scratch):
     path = scratch("log")
     lists, _ = two_pages(spark)
-    captured = pages(spark, [(f"{HOST}/a/biografia/ala", "oops", 503), (f"{HOST}/a/biografia/adam", None)])
+    captured = pages(spark, [(f"{HOST}/p/una", "oops", 503), (f"{HOST}/p/ezra", None)])
     c.extend_log(spark, lists, captured, path, batch_id=0)
     got = {g.name: g.biography_error for g in scan_log(spark, path).filter(F.col("stage") == DETAIL_STAGE).collect()}
-    assert got == {"Ala": f"HTTP 503 for {HOST}/a/biografia/ala", "Adam": "no html captured"}
+    assert got == {"Una": f"HTTP 503 for {HOST}/p/una", "Ezra": "no html captured"}
     # errors are final, unless retried with a later capture
-    good = pages(spark, [(f"{HOST}/a/biografia/ala", ALA)])
+    good = pages(spark, [(f"{HOST}/p/una", UNA)])
     c.append_details(spark, good, path, batch_id=1)
     assert scan_log(spark, path).filter("biography_text <> ''").count() == 0
     c.append_details(spark, good, path, batch_id=2, retry_errors=True)
     latest = {g.name: (g.biography_text, g.biography_error)
               for g in compact_latest(scan_log(spark, path), seq=LOG_ORDER).collect()}
-    assert latest["Ala"][0] == "Ala opis."
+    assert latest["Una"][0] == "Una wove."
 
 
 def test_twelve_pages_in_two_pager_windows(spark):
@@ -92,9 +124,9 @@ def test_twelve_pages_in_two_pager_windows(spark):
         labels = [(str(n), None if n == page else f"pager_{n}") for n in range(first, last + 1)]
         return labels + ([(">", "pager_next")] if last < 12 else [])
 
-    lists = pages(spark, [(BASE, listing(window(n), [card(f"/p/{n}", f"Person {n}")])) for n in range(1, 13)])
+    lists = pages(spark, [(BASE, listing(window(n), [card(f"/p/{n}", f"Reader {n}")])) for n in range(1, 13)])
     got = c.build_catalogue(lists, None).orderBy("first_seq").collect()
-    assert len(got) == 12 and got[-1].name == "Person 12"
+    assert len(got) == 12 and got[-1].name == "Reader 12"
     assert tuple(c.listing_totals(lists).first()) == (12, 12)
     assert pager_summary(lists, keep=["page_seq"]).filter("page_seq + 1 = current_page").count() == 12
 
@@ -102,7 +134,7 @@ def test_twelve_pages_in_two_pager_windows(spark):
 def test_listing_resumes_after_the_saved_page(spark, scratch):
     """Pages 1 and 2 of 3 were read; page 3 is what is left, and it completes the listing."""
     pager = [[("1", None), ("2", "p2")], [("1", "p1"), ("2", None), ("3", "p3")], [("2", "p2"), ("3", None)]]
-    lists = pages(spark, [(BASE, listing(pager[n], [card(f"/p/{n + 1}", f"Person {n + 1}")])) for n in range(3)])
+    lists = pages(spark, [(BASE, listing(pager[n], [card(f"/p/{n + 1}", f"Reader {n + 1}")])) for n in range(3)])
     path = scratch("log")
     before, after = lists.filter("page_seq < 2"), lists.filter("page_seq = 2")
     c.append_listing(spark, before, path, batch_id=0)
@@ -114,7 +146,7 @@ def test_listing_resumes_after_the_saved_page(spark, scratch):
     assert [r.page_no for r in c.missing_listing_pages(progress).collect()] == [3]
     assert c.missing_listing_pages(progress, max_pages=2).count() == 0
     c.append_listing(spark, after, path, batch_id=1)
-    assert sorted(r.name for r in scan_log(spark, path).collect()) == ["Person 1", "Person 2", "Person 3"]
+    assert sorted(r.name for r in scan_log(spark, path).collect()) == ["Reader 1", "Reader 2", "Reader 3"]
     everything = c.listing_progress(lists)
     assert c.missing_listing_pages(everything).count() == 0
     points = resume_points(index.select("index_url"), c.listing_state(everything)).collect()

@@ -124,7 +124,7 @@ def _probes(labels: DataFrame, head_sizes: Sequence[int]) -> DataFrame:
         _grams(F.col("text"), head_sizes),
         F.array(F.concat(F.lit("<"), F.substring("text", 1, GRAM))),
     )
-    return labels.select("*", F.explode(anchors).alias("anchor"))
+    return labels.select("*", F.explode(F.array_distinct(anchors)).alias("anchor"))
 
 
 def match_labels(labels: DataFrame, model: DataFrame, *, min_confidence: float = fixed.MIN_CONFIDENCE,

@@ -50,6 +50,12 @@ def listing_cards(pages: DataFrame, *, keep: Sequence[str] = ("url",), base: str
     )
 
 
+def page_errors(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFrame:
+    """Pages that cannot be read, with the reason; the other operators have no rows for them."""
+    found = extract(pages, [Rule("root", "html")], keep=keep)
+    return found.filter(F.col("extract_error").isNotNull()).select(*keep, F.col("extract_error").alias("error"))
+
+
 def detail_fields(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFrame:
     """The biography fields of each page; ``biography_url`` is the page's own URL.
 

@@ -170,6 +170,11 @@ def details_of_existing(existing: DataFrame, *, seq: Seq, url: str = "url") -> D
     return rows.select("detail_url", "row.*")
 
 
+def http_error(status: str, url: str) -> Column:
+    """What is noted of a page that was answered with an error status."""
+    return F.concat(F.lit("HTTP "), F.col(status).cast("string"), F.lit(" for "), F.col(url))
+
+
 def capture_errors(frontier: DataFrame, pages: DataFrame, *, seq: Seq, url: str = "url",
                    status: str = "status") -> DataFrame:
     """Error rows for frontier URLs whose latest capture has a status outside 200-299.
@@ -182,8 +187,7 @@ def capture_errors(frontier: DataFrame, pages: DataFrame, *, seq: Seq, url: str
         .filter(~F.col(status).between(200, 299))
         .select(
             F.col(url).alias("biography_url"),
-            F.concat(F.lit("HTTP "), F.col(status).cast("string"), F.lit(" for "), F.col(url))
-            .alias("biography_error"),
+            http_error(status, url).alias("biography_error"),
         )
     )
 
@@ -199,3 +203,14 @@ def enrich_stats(log: DataFrame, *, url: str = "url", key: str = "record_key") -
     return counts.select(
         (F.col("total_seen") - F.col("skipped")).alias("scraped"), "skipped", "total_seen", "records_saved"
     )
+
+
+def run_counts(log: DataFrame, now: Column, before: Column, *, url: str = "url", key: str = "record_key") -> DataFrame:
+    """One row on a log after a run: rows the run added (``now``), URLs that rows from ``before`` had
+    finished, keys seen and keys saved (the log keeps every key it has seen)."""
+    counts = log.agg(
+        F.count(F.when(now, F.lit(1))).alias("scraped"),
+        F.count_distinct(F.when(before & has_details(log), F.nullif(F.col(url), F.lit("")))).alias("skipped"),
+        F.count_distinct(F.nullif(F.col(key), F.lit(""))).alias("records_saved"),
+    )
+    return counts.select("scraped", "skipped", F.col("records_saved").alias("total_seen"), "records_saved")

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from vitarium import fixed
 from vitarium.functions.urls import index_urls, with_record_key
 from vitarium.operators.listing import crawl_totals, index_totals, listing_events, page_gaps
-from vitarium.operators.pages import detail_fields, index_links, listing_cards, pager_summary
+from vitarium.operators.pages import detail_fields, index_links, listing_cards, page_errors, pager_summary
 from vitarium.operators.records import (
     compact_latest,
     detail_frontier,
     details_of_existing,
     enrich,
-    enrich_stats,
+    enriched_urls,
+    http_error,
     known_keys,
     merge_records,
     new_records_only,
+    run_counts,
 )
 from vitarium.operators.skew import HOT_ROWS
 from vitarium.schema import DETAIL_STAGE, LISTING_STAGE, LOG_ORDER
@@ -89,8 +91,7 @@ def _page_details(pages: DataFrame) -> DataFrame:
         bad = with_seq.filter(~F.coalesce(F.col("status").between(200, 299), F.lit(True)))
         errors = bad.select(
             "page_seq", F.col("url").alias("biography_url"),
-            F.concat(F.lit("HTTP "), F.col("status").cast("string"), F.lit(" for "), F.col("url"))
-            .alias("biography_error"))
+            http_error("status", "url").alias("biography_error"))
         fields = fields.unionByName(errors, allowMissingColumns=True)
     values = [c for c in fields.columns if c != "biography_url"]
     return (
@@ -101,15 +102,30 @@ def _page_details(pages: DataFrame) -> DataFrame:
 
 
 def append_listing(spark: SparkSession, pages: DataFrame, log_path: str, *, batch_id: int) -> None:
-    """Appends the persons of listing pages whose key the log does not know yet."""
+    """Appends the persons of listing pages whose key the log does not know yet.
+
+    Every detail row stems from a listing row, so the keys of earlier listing batches are
+    all that is known: neither stage's output of this batch or a later one can hide a
+    person from a batch that is run again.
+    """
     cards = with_record_key(listing_cards(good_pages(pages), keep=PAGE_KEYS).drop("page_url"))
-    # a batch run again must not see its own earlier output
-    known = scan_log(spark, log_path).filter(
-        (F.col("stage") != LISTING_STAGE) | (F.col("batch_id") < batch_id))
+    known = scan_log(spark, log_path, upto=(LISTING_STAGE, batch_id - 1))
     fresh = new_records_only(cards, known_keys(known), seq=["page_seq", "card_pos"])
     append_checkpoint(fresh, log_path, batch_id=batch_id, stage=LISTING_STAGE)
 
 
+def open_persons(spark: SparkSession, log_path: str, *, batch_id: int, retry_errors: bool = False) -> DataFrame:
+    """The first listing row of each URL without details from detail batches before ``batch_id``.
+
+    Only detail rows have details, so their folders alone are asked which URLs are done.
+    """
+    log = scan_log(spark, log_path)
+    details = log.filter((F.col("stage") == DETAIL_STAGE) & (F.col("batch_id") < batch_id))
+    listed = log.filter(F.col("stage") == LISTING_STAGE)
+    return detail_frontier(listed, seq=LOG_ORDER, done=enriched_urls(details, retry_errors=retry_errors),
+                           retry_errors=retry_errors)
+
+
 def append_details(spark: SparkSession, pages: DataFrame, log_path: str, *, batch_id: int,
                    retry_errors: bool = False) -> None:
     """Appends a row with details for each person of the log that lacked them and
@@ -118,9 +134,7 @@ def append_details(spark: SparkSession, pages: DataFrame, log_path: str, *, batc
     Pages are parsed before they meet the frontier: parsing is local to each file and
     shrinks a page to a few fields, while joining first would shuffle whole pages.
     """
-    log = scan_log(spark, log_path).filter(
-        (F.col("stage") != DETAIL_STAGE) | (F.col("batch_id") < batch_id))
-    frontier = detail_frontier(log, seq=LOG_ORDER, retry_errors=retry_errors)
+    frontier = open_persons(spark, log_path, batch_id=batch_id, retry_errors=retry_errors)
     rows = enrich(frontier.drop("page_seq"), _page_details(pages), how="inner", hot_rows=None)
     append_checkpoint(rows.withColumn("card_pos", F.lit(0)), log_path, batch_id=batch_id, stage=DETAIL_STAGE)
 
@@ -129,14 +143,18 @@ def extend_log(spark: SparkSession, listing_pages: DataFrame, detail_pages: Data
                batch_id: int) -> DataFrame:
     """One incremental run: listing rows are in the log before any details are added.
 
-    Returns the counts of the detail step (scraped, skipped, seen, records).
+    Returns what the run did: rows with details it added (none without detail pages), URLs
+    that had details before, and keys in the log.  Run again with one ``batch_id`` it
+    leaves the same log.
     """
     append_listing(spark, listing_pages, log_path, batch_id=batch_id)
-    before = scan_log(spark, log_path).filter(
-        (F.col("stage") != DETAIL_STAGE) | (F.col("batch_id") < batch_id))
     if detail_pages is not None:
         append_details(spark, detail_pages, log_path, batch_id=batch_id)
-    return enrich_stats(before)
+    log = scan_log(spark, log_path)
+    now = (F.col("stage") == DETAIL_STAGE) & (F.col("batch_id") == batch_id)
+    if detail_pages is None:
+        now = F.lit(False)
+    return run_counts(log, now, (F.col("stage") == DETAIL_STAGE) & (F.col("batch_id") < batch_id))
 
 
 def compact_job(spark: SparkSession, log_path: str, snapshot_path: str) -> None:
@@ -144,6 +162,17 @@ def compact_job(spark: SparkSession, log_path: str, snapshot_path: str) -> None:
     compact_latest(scan_log(spark, log_path), seq=LOG_ORDER).write.mode("errorifexists").parquet(snapshot_path)
 
 
+def listing_errors(listing_pages: DataFrame) -> DataFrame:
+    """Listing pages that give no cards because they could not be read: answered with an error
+    status, without HTML, or not parsed.  Every page is either here or was read."""
+    answered = good_pages(listing_pages)
+    errors = page_errors(answered, keep=PAGE_KEYS)
+    if "status" not in listing_pages.columns:
+        return errors
+    bad = listing_pages.filter(~F.coalesce(F.col("status").between(200, 299), F.lit(True)))
+    return errors.unionByName(bad.select(*PAGE_KEYS, http_error("status", "url").alias("error")))
+
+
 def listing_progress(listing_pages: DataFrame, *, index_url: str = "url") -> DataFrame:
     """One progress event per captured listing page: its number, the total its pager
     shows, and whether it is the last.  Fold it to get the listing state."""

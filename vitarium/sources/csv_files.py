@@ -13,33 +13,55 @@ from vitarium.schema import RECORD
 
 
 def read_records(spark: SparkSession, path: str, *, schema: T.StructType | None = None,
-                 multi_line: bool = True, position: bool = False) -> DataFrame:
+                 multi_line: bool = False, position: bool = False) -> DataFrame:
     """Records of CSV files with a header; absent cells are empty, all-empty rows dropped.
 
-    Without ``schema`` the header of the files decides, and every column is text.
-    ``multi_line`` allows line breaks inside quotes, but then one task reads one whole
-    file; turn it off for large files whose cells have none (all text written here is
-    free of them).  ``position`` adds ``file_path``, ``file_block`` and ``row_no``,
-    which order the rows of one read.
+    Columns are matched by name: files whose headers differ are read apart and united, and
+    without ``schema`` every column of any header is text.  Large files are split between
+    tasks; ``multi_line`` allows line breaks inside quotes, but then one task reads one
+    whole file.  ``position`` adds ``file_path``, ``file_block`` and ``row_no``, which
+    order the rows of one read.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line)
-    reader = reader.option("quote", '"').option("escape", '"')
-    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    df = reader.csv(path)
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "enforceSchema": False}
+
+    def read(paths: list[str] | str) -> DataFrame:
+        found = spark.read.options(**options).csv(paths)
+        if position:
+            found = found.select("*", F.col("_metadata.file_path").alias("file_path"),
+                                 F.col("_metadata.file_block_start").alias("file_block"))
+        return found
+
+    layouts = _layouts(spark, path)
+    tables = [read(files) for files in layouts.values()] if len(layouts) > 1 else [read(path)]
+    df = tables[0]
+    for other in tables[1:]:
+        df = df.unionByName(other, allowMissingColumns=True)
+    places = ["file_path", "file_block"] if position else []
+    fields = schema.fields if schema is not None else [f for f in df.schema if f.name not in places]
     any_filled = F.lit(False)
-    for name in df.columns:
-        any_filled = any_filled | F.coalesce(F.col(name).cast("string") != "", F.lit(False))
-    columns = [F.coalesce(c, F.lit("")).alias(c) if c in text else F.col(c) for c in df.columns]
-    if position:
-        columns += [
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("file_block"),
-            F.monotonically_increasing_id().alias("row_no"),
-        ]
-    return df.filter(any_filled).select(*columns)
+    columns = []
+    for field in fields:
+        value = F.coalesce(F.col(f"`{field.name}`"), F.lit("")) if field.name in df.columns else F.lit("")
+        any_filled = any_filled | (value != "")
+        if not isinstance(field.dataType, T.StringType):
+            value = F.nullif(value, F.lit("")).cast(field.dataType)
+        columns.append(value.alias(field.name))
+    rows = df.filter(any_filled).select(*columns, *places)
+    return rows.withColumn("row_no", F.monotonically_increasing_id()) if position else rows
+
+
+def _layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files below ``path`` by header line; one row a file reaches the driver.
+
+    A header is the first line of its file.  Finding it reads the first block of each file once more.
+    """
+    name, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select(name.alias("file"), start.alias("start"), "value",
+                                                          F.monotonically_increasing_id().alias("at"))
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    return {r.header: sorted(r.files) for r in sorted(found, key=lambda r: r.header)}
 
 
 def write_records(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
@@ -57,12 +79,18 @@ def write_records(df: DataFrame, path: str, *, mode: str = "errorifexists") -> N
 
 
 def aligned_columns(schemas: Sequence[Sequence[str]], base: Sequence[str] = RECORD_COLUMNS) -> list[str]:
-    """Columns of several tables: known ones first in record order, then the rest as met."""
-    present = list(dict.fromkeys(c for columns in schemas for c in columns))
-    preferred = [c for c in RECORD_COLUMNS if c in base] + [c for c in base if c not in RECORD_COLUMNS]
-    if not present:
-        return preferred
-    return [c for c in preferred if c in present] + [c for c in present if c not in preferred]
+    """The distinct columns of several tables; without any, those of ``base``.
+
+    Record columns that ``base`` names come first and in record order, then the rest of
+    ``base``, then what only the tables have, in the order met.
+    """
+    known = {name: place for place, name in enumerate(sorted(base, key=_record_place))}
+    met = {name: None for columns in schemas for name in columns} or known
+    return sorted(met, key=lambda name: known.get(name, len(known)))
+
+
+def _record_place(name: str) -> int:
+    return RECORD_COLUMNS.index(name) if name in RECORD_COLUMNS else len(RECORD_COLUMNS)
 
 
 def align_columns(tables: Sequence[DataFrame], base: Sequence[str] = RECORD_COLUMNS) -> DataFrame:
