@@ -76,4 +76,34 @@ def pipeline(spark: Spark, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op3_neargraph, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op9_mainpage, op10_langid, pipeline)}
-ORACLES: dict[str, str] = {}
+WORDS = "[^ \\x09-\\x0D]"
+
+
+def _quality_sql() -> str:
+    """The measures and the verdict of ``op1_quality``, counted from single words and windows."""
+    stop = "|".join(quality.STOP_WORDS)
+    bounds = [f"{measure} {sign} {bound}" for _, measure, least, most in quality.RULES
+              for sign, bound in ((">=", least), ("<=", most)) if bound is not None]
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{WORDS}+') AS ws,
+            list_filter(string_split(t, chr(10)), lambda line: regexp_matches(line, '{WORDS}')) AS ls FROM d),
+        starts AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS place FROM w WHERE len(ws) >= 3),
+        windows AS (SELECT rid, place, ws[place] || ' ' || ws[place + 1] || ' ' || ws[place + 2] AS three FROM starts),
+        twice AS (SELECT rid, place FROM (SELECT rid, place, count(*) OVER (PARTITION BY rid, three) AS n FROM windows) WHERE n > 1),
+        covered AS (SELECT rid, count(DISTINCT place + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
+        counts AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+            len(regexp_extract_all(t, '{quality.SYMBOLS}')) AS n_symbols, len(ls) AS n_lines,
+            len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+            len(list_filter(ws, lambda x: regexp_matches(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '^(?:{stop})(?:[,.;:!?]|$)'))) AS n_stop_words,
+            len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_capitals FROM w LEFT JOIN covered USING (rid)),
+        measures AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+            coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_chars, coalesce(n_symbols / nullif(word_chars, 0), 0) AS symbol_ratio,
+            coalesce(n_stop_words / nullif(n_words, 0), 0) AS stop_ratio, coalesce(n_capitals / nullif(word_chars, 0), 0) AS capital_ratio,
+            coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio, coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_ratio FROM counts)
+        SELECT *, NOT base_failed AND {" AND ".join(bounds)} AS kept FROM measures"""
+
+
+#: The other operators hash, encode or learn by rules SQL does not have; see their tests.
+ORACLES: dict[str, str] = {"op1_quality": _quality_sql()}
