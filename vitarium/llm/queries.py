@@ -9,7 +9,8 @@ import corpus_pipeline
 import public_tokenizers
 
 from vitarium.session import scratch_path
-from vitarium.llm import bpe, idfiles, langid, mainpage, neargraph, packing, quality, secrets, sharding, simhash
+from vitarium.llm import (
+    bpe, hardnegatives, idfiles, langid, licences, mainpage, neargraph, packing, prefixtrie, quality, secrets, sharding, simhash)
 
 Spark = SparkSession
 WORD_BPE = "word_bpe_49k.json"
@@ -71,11 +72,34 @@ def op10_langid(spark: Spark, sf: str) -> DataFrame:
     return langid.predict(documents, langid.fit(documents))
 
 
+def op11_hardnegatives(spark: Spark, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf, "embeddings").select(
+        "vec_id", label.alias("label"), hardnegatives.quantised(F.col("embedding")).alias("vector"))
+    return hardnegatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_licences(spark: Spark, sf: str) -> DataFrame:
+    return licences.labels(licences.scan(_table(spark, sf, "documents")))
+
+
+def op13_prefixtrie(spark: Spark, sf: str) -> DataFrame:
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string").cast("binary")) % 4
+    turns, convs = prefixtrie.with_shared_heads(
+        prefixtrie.ordered(_table(spark, sf, "conversations")), head, conv - conv % 20)
+    return prefixtrie.prefix_trie(turns, convs).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
 def pipeline(spark: Spark, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_bpe, op3_neargraph, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op9_mainpage, op10_langid, pipeline)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_bpe, op3_neargraph, op4_packing, op5_secrets, op6_idfiles, op7_sharding, op8_simhash, op9_mainpage, op10_langid,
+    op11_hardnegatives, op12_licences, op13_prefixtrie, pipeline)}
 WORDS = "[^ \\x09-\\x0D]"
 
 
@@ -105,5 +129,47 @@ def _quality_sql() -> str:
         SELECT *, NOT base_failed AND {" AND ".join(bounds)} AS kept FROM measures"""
 
 
+HARD_NEGATIVES = """WITH e AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, a.l = e.l AS same, e.vec_id AS id,
+        list_inner_product(a.v, e.v)::BIGINT AS score FROM e a JOIN e ON a.rid <> e.rid WHERE a.vec_id % 50 = 0),
+    p AS (SELECT anchor, anchor_id, id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS positive_rank FROM s WHERE same QUALIFY positive_rank <= 5)
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor, positive_rank ORDER BY score DESC, id)::INTEGER AS "rank",
+        id AS negative_id, positive_score, score AS negative_score, positive_rank::INTEGER AS positive_rank
+    FROM p JOIN s ON p.anchor = s.anchor AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY "rank" <= 3"""
+
+#: CRC-32 of a number's digits: the bytes are taken one by one, each in eight steps.
+PREFIX_TRIE = """WITH RECURSIVE t AS (SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv, conv - conv % 20 AS base, count(*) AS n, xor(list_reduce(list_transform(range(1, length(conv::VARCHAR) + 1),
+            lambda i: ascii(substr(conv::VARCHAR, i, 1))::BIGINT), lambda crc, byte: list_reduce(range(8),
+            lambda r, k: xor(r >> 1, 3988292384 * (r & 1)), xor(crc, byte)), 4294967295::BIGINT), 4294967295) % 4 AS h
+        FROM t GROUP BY conv),
+    r AS (SELECT c.conv, t.place AS d, role, text FROM c JOIN t ON t.conv = c.base AND t.place <= c.h
+        UNION ALL SELECT c.conv, t.place - c.h + least(c.h, coalesce(b.n, 0)), role, text
+        FROM c JOIN t ON t.conv = c.conv AND t.place > c.h LEFT JOIN c b ON b.conv = c.base),
+    seq AS (SELECT c.conv, coalesce(list({'r': role, 't': text} ORDER BY d) FILTER (d IS NOT NULL), []) AS turns
+        FROM c LEFT JOIN r ON r.conv = c.conv GROUP BY c.conv),
+    pre AS (SELECT conv, len(turns) AS size, unnest(range(len(turns) + 1)) AS d, turns FROM seq),
+    keyed AS (SELECT conv, size, d, md5(turns[:d]::VARCHAR) AS k, md5(turns[:d - 1]::VARCHAR) AS up, turns[d].t AS last FROM pre),
+    node AS (SELECT d, k, any_value(up) AS up, min(conv) AS conv, count(*) AS n, any_value(last) AS last,
+        sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (size = d), '')) AS ends FROM keyed GROUP BY d, k),
+    kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+    own AS (SELECT node.d, node.k, coalesce(kids.n, 0) AS n_children, (node.n - 1) * len(regexp_extract_all(coalesce(last, ''),
+        '[^ \x09-\x0D]+')) AS saved FROM node LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k),
+    up AS (SELECT d, k, n_children, saved, d AS top, k AS place FROM own
+        UNION ALL SELECT up.d, up.k, n_children, saved, node.d - 1, node.up FROM up JOIN node ON node.d = up.top AND node.k = up.place
+        WHERE up.top > 0),
+    sums AS (SELECT top AS d, place AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved FROM up GROUP BY ALL)
+    SELECT node.conv AS conv_id, node.d AS depth, above.conv AS parent_conv_id, node.n AS n_convs, own.n_children, n_leaves,
+        sums.saved::BIGINT AS saved_tokens, node.ends AS ends_sha256
+    FROM node JOIN own ON own.d = node.d AND own.k = node.k JOIN sums ON sums.d = node.d AND sums.k = node.k
+        LEFT JOIN node above ON above.d = node.d - 1 AND above.k = node.up AND node.d > 0"""
+
 #: The other operators hash, encode or learn by rules SQL does not have; see their tests.
-ORACLES: dict[str, str] = {"op1_quality": _quality_sql()}
+ORACLES: dict[str, str] = {"op1_quality": _quality_sql(), "op11_hardnegatives": HARD_NEGATIVES, "op13_prefixtrie": PREFIX_TRIE}
