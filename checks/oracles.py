@@ -135,6 +135,12 @@ PEOPLE = f"""{CARDS}, people AS (
            arg_max(activity, page_seq) AS activity
     FROM cards WHERE url <> '' GROUP BY url)"""
 
+FIRST_SEEN = f"""{CARDS}, {ANSWERED}, first_seen AS (
+    SELECT lower(url) AS record_key, url, name, page_seq, batch_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY url ORDER BY batch_id, page_seq, card_pos) AS rn FROM (
+            SELECT cards.*, CASE WHEN lang <> 'en' THEN 0 ELSE 1 END AS batch_id FROM cards JOIN documents ON doc_id = page_seq
+            WHERE url <> '')) WHERE rn = 1)"""
+
 # --- a log of two batches --------------------------------------------------------
 TWO_BATCHES = f"""{LOG}, rows AS (
     SELECT record_key, ingest_seq AS page_seq, 0 AS stage, name, dates, biography_text FROM keyed WHERE record_key <> ''
@@ -281,6 +287,19 @@ ORACLES = {
     "extend_log_rerun": f"""WITH {PEOPLE}, {ANSWERED}
         SELECT record_key, url, 0 AS stage, NULL AS biography_text FROM people UNION ALL
         SELECT record_key, url, 1, biography_text FROM people JOIN answered ON url = biography_url""",
+    "extend_log_reordered": f"""WITH {FIRST_SEEN}
+        SELECT record_key, url, name, 0 AS stage, batch_id, NULL AS biography_text FROM first_seen UNION ALL
+        SELECT record_key, url, name, 1, batch_id, biography_text FROM first_seen JOIN answered ON url = biography_url""",
+    "resume_after_compaction": f"""WITH {FIRST_SEEN} SELECT record_key, url, name, batch_id, biography_text, biography_error,
+        page_seq AS first_page, batch_id AS first_batch FROM first_seen LEFT JOIN answered ON url = biography_url""",
+    "read_listing_once": f"""SELECT doc_id AS page_seq, CASE WHEN lang <> 'es' THEN 3 END AS n_cards,
+        CASE WHEN lang <> 'es' THEN greatest(doc_id + 1, 7) END AS total_pages, CASE WHEN lang <> 'es' THEN doc_id END AS current_page,
+        CASE WHEN lang <> 'es' THEN CASE WHEN doc_id + 1 = 7 THEN 2 ELSE 3 END END AS n_pager_links,
+        CASE WHEN lang <> 'es' THEN 2 END AS n_index_links,
+        CASE WHEN lang = 'es' THEN 'HTTP 500 for {st.SITE}/Search/Type,Biography/Initial,es/' || doc_id END AS error FROM documents""",
+    "listing_ends": """WITH t AS (SELECT lang, count(*) AS size FROM documents GROUP BY lang)
+        SELECT lang AS index_url, size AS last_page, size + 3 AS total_pages, lang NOT IN ('de', 'fr') AS completed,
+            CASE lang WHEN 'de' THEN 3 WHEN 'fr' THEN 4 ELSE 0 END AS n_missing FROM t""",
     "listing_errors": f"""WITH p AS ({st.for_duckdb(st.LISTING_PAGES)})
         SELECT url, page_seq, CASE WHEN initial = 'es' THEN 'HTTP 500 for ' || url ELSE 'no html captured' END AS error
         FROM p WHERE initial IN ('es', 'fr')""",
@@ -290,6 +309,8 @@ ORACLES = {
         WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.lang = w.lang AND d.doc_id = page_no)""",
     "listing_state": """SELECT lang AS index_url, max(doc_id) AS last_page, max(greatest(doc_id + 1, 7)) AS total_pages,
         max(doc_id) >= max(greatest(doc_id + 1, 7)) AS completed FROM documents GROUP BY lang""",
-    "stream_dedupe": f"WITH {LOG} SELECT DISTINCT record_key FROM keyed WHERE record_key <> ''",
-    "stream_state": f"WITH {STATE} SELECT * FROM state",
+    "stream_dedupe": f"""WITH {LOG} SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY record_key ORDER BY ingest_seq) AS rn FROM keyed WHERE record_key <> '')
+        WHERE rn = 1""",
+    "stream_state": f"WITH {STATE} SELECT * EXCLUDE (html) FROM state",
 }

@@ -385,6 +385,48 @@ def extend_log_rerun(spark: Spark, sf: str) -> DataFrame:
     return log.scan_log(spark, path).select("record_key", "url", "stage", "biography_text")
 
 
+def _two_runs(spark: Spark, sf: str, path: str, order: list[int]) -> None:
+    """Runs 0 (all listing pages but the English ones) and 1 (all of them), in this order."""
+    lists, details = st.standin(spark, sf, st.LISTING_PAGES), st.standin(spark, sf, st.DETAIL_PAGES)
+    for run in order:
+        catalogue.extend_log(spark, lists.filter("initial <> 'en'") if run == 0 else lists, details, path, batch_id=run)
+
+
+def extend_log_reordered(spark: Spark, sf: str) -> DataFrame:
+    """Two runs, then both once more, each after the other."""
+    path = scratch_path(spark, "log")
+    _two_runs(spark, sf, path, [0, 1, 0, 1, 0])
+    return log.scan_log(spark, path).select("record_key", "url", "name", "stage", "batch_id", "biography_text")
+
+
+def resume_after_compaction(spark: Spark, sf: str) -> DataFrame:
+    """A second run that starts from the snapshot of the first, whose batches are gone."""
+    path = scratch_path(spark, "log")
+    _two_runs(spark, sf, path, [0])
+    catalogue.compact_job(spark, path, drop=True)
+    _two_runs(spark, sf, path, [1, 0])  # the first run is in the snapshot for good
+    rows = log.latest_rows(spark, path)
+    return rows.select("record_key", "url", "name", "batch_id", "biography_text", "biography_error",
+                       F.col("first_seq.page_seq").alias("first_page"), F.col("first_seq.batch_id").alias("first_batch"))
+
+
+def read_listing_once(spark: Spark, sf: str) -> DataFrame:
+    """Cards, pager, links and errors of pages that were parsed once."""
+    lists = st.standin(spark, sf, st.LISTING_PAGES)
+    lists = lists.withColumn("status", F.when(F.col("initial") == "es", 500).otherwise(F.col("status")))
+    parsed = catalogue.read_once(spark, lists, scratch_path(spark, "parsed"))
+    keep = ["url", "page_seq"]
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("page_seq").agg(F.count("*").alias(name))
+
+    out = counted(pages.listing_cards(parsed, keep=keep), "n_cards")
+    for more in (pages.pager_summary(parsed, keep=keep).drop("url"), counted(pages.pager_links(parsed, keep=keep), "n_pager_links"),
+                 counted(pages.index_links(parsed, keep=keep), "n_index_links")):
+        out = out.join(more, "page_seq")
+    return out.join(catalogue.listing_errors(parsed).drop("url"), "page_seq", "full")
+
+
 def listing_errors(spark: Spark, sf: str) -> DataFrame:
     """Pages of one language answered with an error, those of another without HTML."""
     lists = st.standin(spark, sf, st.LISTING_PAGES)
@@ -403,16 +445,36 @@ def listing_state(spark: Spark, sf: str) -> DataFrame:
     return catalogue.listing_state(progress)
 
 
+def listing_ends(spark: Spark, sf: str) -> DataFrame:
+    """Listings that name higher pages than they ever link to."""
+    progress = catalogue.listing_progress(st.standin(spark, sf, st.SERIES), index_url="initial")
+    missing = catalogue.missing_listing_pages(progress).groupBy("index_url").agg(F.count("*").alias("n_missing"))
+    return catalogue.listing_state(progress).join(missing, "index_url", "left").na.fill(0, ["n_missing"])
+
+
 def _stream_of(spark: Spark, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.repartition(4).write.parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
+def _in_order(spark: Spark, df: DataFrame, seq: str, name: str, files: int = 4) -> DataFrame:
+    """A stream of ``df`` in files written one after another, two a micro-batch."""
+    path = scratch_path(spark, name)
+    low, high = df.agg(F.min(seq), F.max(seq)).first()
+    part = F.floor((F.col(seq) - low) * files / (high - low + 1))
+    for n in range(files):
+        df.filter(part == n).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
 def stream_dedupe(spark: Spark, sf: str) -> DataFrame:
-    rows = jobs.stream_dedupe(_stream_of(spark, st.standin(spark, sf, st.RECORD_LOG), "records"))
+    """Whole first records; every key is remembered for longer than the events last."""
+    rows = st.standin(spark, sf, st.RECORD_LOG).withColumn("seen_at", F.timestamp_seconds(F.col("ingest_seq") + 1_000_000_000))
+    first = jobs.stream_dedupe(_in_order(spark, rows, "ingest_seq", "records"), seq="ingest_seq", event_time="seen_at",
+                               forget_after="4000 days")
     out = scratch_path(spark, "deduped")
-    (rows.select("record_key").writeStream.format("parquet").option("path", out)
+    (first.drop("seen_at").writeStream.format("parquet").option("path", out)
      .option("checkpointLocation", scratch_path(spark, "dedupe")).trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(out)
 
@@ -420,10 +482,8 @@ def stream_dedupe(spark: Spark, sf: str) -> DataFrame:
 def stream_state(spark: Spark, sf: str) -> DataFrame:
     state = jobs.stream_state(_stream_of(spark, st.standin(spark, sf, st.PROGRESS), "progress"), seq="seq")
     out = scratch_path(spark, "state")
-    (state.writeStream.outputMode("complete")
-     .foreachBatch(lambda df, epoch: df.write.mode("overwrite").parquet(out))
-     .option("checkpointLocation", scratch_path(spark, "fold")).trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(out)
+    jobs.write_state(state, out, scratch_path(spark, "fold")).awaitTermination()
+    return jobs.read_state(spark, out, state.schema)
 
 
 QUERIES = {
@@ -437,8 +497,8 @@ QUERIES = {
         quickstatements, link_documents, write_statements, write_quickstatements, csv_to_statements, read_pages,
         csv_roundtrip, csv_two_headers, union_align, append_then_compact, load_existing,
         log_snapshot, save_snapshot, build_catalogue, ingest_stream, enrich_stream, compact_job, extend_log,
-        extend_log_without_details, extend_log_rerun, listing_errors,
-        missing_listing_pages, listing_state,
+        extend_log_without_details, extend_log_rerun, extend_log_reordered, resume_after_compaction, read_listing_once,
+        listing_errors, missing_listing_pages, listing_state, listing_ends,
         stream_dedupe, stream_state,
     ]
 }

@@ -48,6 +48,18 @@ SELECT '{SITE.lower()}/Search/Type,Biography/bio/' || doc_id AS url, doc_id AS p
 FROM {{documents}}
 """
 
+#: Each language is a listing of its own, numbered through.  Every pager names a page three further than there is; only
+#: the last page of German links on, and the second page of French is missing.
+SERIES = f"""
+SELECT '{SITE}/Search/Type,Biography/Initial,' || lang || '/' AS url, doc_id AS page_seq, lang AS initial,
+       '<div class="pages"><span>' || n || '</span><a>' || (size + 3) || '</a>'
+       || CASE WHEN n < size OR lang = 'de' THEN '<a id="pg_x">' || (n + 1) || '</a>' ELSE '' END
+       || CASE WHEN n < size THEN '<a id="pg_next">&gt;</a>' ELSE '<a>&gt;</a>' END || '</div>' AS html
+FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS n,
+             count(*) OVER (PARTITION BY lang) AS size FROM {{documents}}) numbered
+WHERE NOT (lang = 'fr' AND n = 2)
+"""
+
 RECORD_LOG = """
 SELECT event_id AS ingest_seq,
        CASE event_type WHEN 'view' THEN 'https://People.example/P/' || user_id

@@ -2,12 +2,13 @@ import os
 import pathlib
 import subprocess
 import sys
+import time
 
 from pyspark.sql import functions as F
 
 from tests.site import BASE, card, detail, listing, pages
 from vitarium.operators import pages as p
-from vitarium.operators.extract import Rule, Search, extract, find_values
+from vitarium.operators.extract import Rule, Search, extract, find_parts, find_values
 
 PAGER = listing([("4", None), ("5", "go_to_five"), ("6", "go_six"), (">", "go_on_")], [])
 
@@ -92,6 +93,37 @@ def test_many_large_pages_keep_their_rows(spark):
         (f"u{i}", 500) for i in range(40))
 
 
+def test_hostile_pages_take_time_in_proportion():
+    """Deep nesting, stray end tags and text at every depth."""
+    search = [Search([Rule("t", "p")]), Search([Rule("t", ".personItem")], ".personItem")]
+    n = 100_000
+    for html, texts in [("<div>" * n + "<p>x", 1), ("<b>" * 4000 + "</p>" * n, 0),
+                        ("<p><button>" + "<div>" * n, 1), ("<ul><li>" * n, 0), ("<p>a</p></p>" * n, n)]:
+        start = time.perf_counter()
+        found = find_parts(html, search)
+        assert len(found[0][0]["t"]) == texts and time.perf_counter() - start < 10
+
+
+def test_parsed_once_gives_what_each_operator_parses(spark):
+    html = '<div class="alphabet"><a href="/Search/Type,Biography/Initial,A/">A</a></div>' + PAGER + card("/p/wren", "Olga", "1712")
+    df = pages(spark, [(BASE, html), ("n", None), ("bad", html, 503), ("e", "")])
+    parsed = p.parse_pages(df)
+    good = df.filter("status = 200")
+    for operator in (p.listing_cards, p.pager_summary, p.pager_links, p.index_links):
+        assert sorted(map(str, operator(parsed).collect())) == sorted(map(str, operator(good).collect())), operator
+    assert rows(p.page_errors(parsed), "url") == [("bad", "HTTP 503 for bad"), ("n", "no html captured")]
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_onward(spark):
+    def pager(*entries):
+        return listing(entries, [])
+    df = pages(spark, [("a", pager(("1", None), ("2", "p2"))), ("b", pager(("1", None), ("3", "p3"))), ("c", pager(("2", None), (">", "nx"))),
+                       ("d", "<p>"), ("e", '<div class="pages"><span>1</span><a>2</a><a>&gt;</a></div>'), ("f", pager(("1", "p1"), ("2", None)))])
+    got = {r.url: r.onward for r in p.pager_summary(df, onward=True).collect()}
+    assert got == {"a": True, "b": False, "c": True, "d": False, "e": False, "f": False}
+
+
 def test_executors_need_no_copy_of_the_package():
     """The Python step still runs when Python workers cannot import this package."""
     script = (

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from vitarium.operators.pages import listing_cards, pager_summary
 from vitarium.operators.records import compact_latest, log_progress
 from vitarium.plans import catalogue as c
 from vitarium.schema import DETAIL_STAGE, LISTING_STAGE, LOG, LOG_ORDER, PAGES
+from vitarium.sources import files, log
 from vitarium.sources.log import scan_log
 from vitarium.sources.pages import stream_pages
 from vitarium.streaming import jobs
@@ -94,6 +97,122 @@ def test_a_run_repeated_or_replayed_in_any_order_leaves_the_same_log(spark, scra
     assert tuple(c.extend_log(spark, lists, None, path, batch_id=2).first()) == (0, 2, 2, 2)
 
 
+def log_rows(spark, path):
+    return sorted((tuple(r) for r in scan_log(spark, path).select(
+        "stage", "batch_id", "record_key", F.coalesce("biography_text", F.lit(""))).collect()))
+
+
+@pytest.mark.parametrize("again", [[0], [1], [0, 1], [1, 0], [0, 1, 0], [1, 1, 0]])
+def test_two_batches_run_again_in_any_order(spark, scratch, again):
+    """Each batch lists one person, both have both detail pages."""
+    lists, details = two_pages(spark)
+    path = scratch("log")
+    batches = [lists.filter("page_seq = 0"), lists.filter("page_seq = 1")]
+    for n in (0, 1):
+        c.extend_log(spark, batches[n], details, path, batch_id=n)
+    once = log_rows(spark, path)
+    assert [r[:2] for r in once] == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    for n in again:
+        c.extend_log(spark, batches[n], details, path, batch_id=n)
+        assert log_rows(spark, path) == once
+
+
+def test_a_run_starts_from_the_snapshot(spark, scratch):
+    lists, details = two_pages(spark)
+    path = scratch("log")
+    c.extend_log(spark, lists.filter("page_seq = 0"), details, path, batch_id=0)
+    c.append_listing(spark, lists, path, batch_id=1)
+    before = sorted(map(str, log.latest_rows(spark, path).collect()))
+    c.compact_job(spark, path)
+    assert sorted(map(str, log.latest_rows(spark, path).collect())) == before
+    assert tuple(log_progress(scan_log(spark, path)).first()) == (2, 1, 2)
+    # an earlier bound is answered from the batches while they are there
+    assert scan_log(spark, path, upto=(LISTING_STAGE, 0)).count() == 1
+    c.compact_job(spark, path, drop=True)
+    assert log.finished_batches(spark, path) == []
+    with pytest.raises(ValueError, match="dropped"):
+        scan_log(spark, path, upto=(LISTING_STAGE, 0))
+    # covered batches are in the log for good; a new one finds who still lacks details
+    assert not c.append_listing(spark, lists, path, batch_id=0) and not c.append_details(spark, details, path, batch_id=0)
+    assert tuple(c.extend_log(spark, lists, details, path, batch_id=2).first()) == (1, 1, 2, 2)
+    got = log.latest_rows(spark, path).orderBy("first_seq").collect()
+    assert [(g.name, g.biography_text, g.first_seq.batch_id) for g in got] == [("Una", "Una wove.", 0), ("Ezra", "Ezra piped.", 1)]
+    c.compact_job(spark, path, drop=True)
+    assert sorted(map(str, log.latest_rows(spark, path).collect())) == sorted(map(str, got))
+    assert not log.commit_snapshot(spark, path)
+
+
+def test_a_killed_compaction_leaves_the_log_as_it_was(spark, scratch):
+    lists, details = two_pages(spark)
+    path = scratch("log")
+    c.extend_log(spark, lists, details, path, batch_id=0)
+    before = log_rows(spark, path)
+    # rows without a manifest, a manifest that was begun, a batch that was begun
+    log.latest_rows(spark, path).write.partitionBy("batch_id").parquet(f"{path}/_snapshots/half")
+    spark.range(1).write.json(f"{path}/_commits/00000000/_temporary/0")
+    scan_log(spark, path).drop("stage", "batch_id").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/stage=0/batch_id=7")
+    assert log.snapshot_of(spark, path) is None and (0, 7) not in log.finished_batches(spark, path)
+    files.remove(spark, f"{path}/stage=0/batch_id=7")
+    assert log_rows(spark, path) == before
+    c.compact_job(spark, path, drop=True)
+    assert files.folders(spark, f"{path}/_snapshots") == [log.snapshot_of(spark, path).folder]
+    assert scan_log(spark, path).count() == 2
+
+
+def test_errors_in_a_snapshot_can_be_retried(spark, scratch):
+    path = scratch("log")
+    lists, _ = two_pages(spark)
+    c.extend_log(spark, lists, pages(spark, [(f"{HOST}/p/una", "oops", 503)]), path, batch_id=0)
+    c.compact_job(spark, path, drop=True)
+    good = pages(spark, [(f"{HOST}/p/una", UNA)])
+    c.append_details(spark, good, path, batch_id=1)
+    assert scan_log(spark, path).filter("biography_text <> ''").count() == 0
+    c.append_details(spark, good, path, batch_id=2, retry_errors=True)
+    una = log.latest_rows(spark, path).filter("name = 'Una'").first()
+    assert (una.biography_text, una.biography_error) == ("Una wove.", None)
+
+
+def test_a_micro_batch_reads_only_buckets_its_keys_fall_into(spark, scratch, monkeypatch):
+    """Bytes of the log that a batch reads stay the same however many batches came before."""
+    monkeypatch.setattr(log, "BUCKET_ROWS", 20)
+    path, read, seen = scratch("log"), [], []
+    plain = log.scan_snapshot
+
+    def counted(session, where, state, *, keys=None):
+        rows = plain(session, where, state, keys=keys)
+        names = rows.inputFiles()  # files of the buckets asked for
+        touched = rows.select(F.input_file_name()).distinct().count()
+        seen.append((touched, state.buckets, len(names)))
+        return rows
+    for n in range(12):
+        lists = pages(spark, [(f"{BASE}{n}", listing([], [card(f"/p/{n}-{k}", f"P{n}-{k}") for k in range(40)] + [card("/p/0-0", "again")]))])
+        with monkeypatch.context() as patch:
+            patch.setattr(c, "scan_snapshot", counted)
+            few = lists if n < 4 else pages(spark, [(f"{BASE}{n}", listing([], [card(f"/p/{n}-0", "one"), card("/p/0-0", "again")]))])
+            c.append_listing(spark, few, path, batch_id=2 * n)
+        read.append(seen[-1] if seen else None)
+        c.append_listing(spark, lists, path, batch_id=2 * n + 1)
+        log.commit_snapshot(spark, path, bucket_rows=20)
+        log.drop_covered(spark, path)
+    assert scan_log(spark, path).count() == 12 * 40
+    assert read[-1][1] > 2 * read[4][1]  # many more buckets by now
+    assert all(touched <= 2 for touched, *_ in read[4:])
+
+
+def test_each_page_is_parsed_once(spark, scratch):
+    lists, details = two_pages(spark)
+    plan = c.build_catalogue(lists, details)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.count("Scan") == 2
+    parsed = c.read_once(spark, lists, scratch("parsed"))
+    for frame in (listing_cards(parsed, keep=["page_seq"]), c.listing_progress(parsed), c.listing_errors(parsed), c.index_links(parsed)):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in text and "part" in text.split("PartitionFilters")[1][:60]
+    path = scratch("log")
+    c.extend_log(spark, parsed, details, path, batch_id=0)
+    assert log_rows(spark, path)[0][3] == "" and len(log_rows(spark, path)) == 4
+
+
 def test_unreadable_listing_pages_are_told(spark):
     df = pages(spark, [(BASE, None), (BASE, listing([], [card("/p/1", "One")])), (BASE, "gone", 404)])
     errors = {r.page_seq: r.error for r in c.listing_errors(df).collect()}
@@ -153,6 +272,26 @@ def test_listing_resumes_after_the_saved_page(spark, scratch):
     assert [p.index_url[-2:] for p in points] == ["B/"]
 
 
+def test_a_listing_ends_where_no_link_leads_on(spark):
+    """Pagers name page 9; pages are walked from 1 until one links no further."""
+    def walked(*numbered):
+        lists = pages(spark, [(BASE, listing([(str(no), None), ("9", "far"), *links], [])) for no, links in numbered])
+        progress = c.listing_progress(lists)
+        state = c.listing_state(progress).first()
+        return state.last_page, state.completed, sorted(r.page_no for r in c.missing_listing_pages(progress).collect())
+
+    def on(no):
+        return no, [(str(no + 1), f"p{no + 1}")]
+    assert walked(on(1), on(2), (3, [])) == (3, True, [])
+    assert walked(on(1), on(2), (3, [(">", "next")])) == (3, False, [4, 5, 6, 7, 8, 9])
+    assert walked(on(1), (3, [])) == (3, False, [2, 4, 5, 6, 7, 8, 9])  # page 2 is missing
+    assert walked(on(2), (3, [])) == (3, False, [1, 4, 5, 6, 7, 8, 9])
+    assert walked((1, [])) == (1, True, [])
+    # of a page captured twice the later capture counts
+    assert walked(on(1), on(2), (2, [])) == (2, True, [])
+    assert walked(on(1), (2, []), on(2)) == (2, False, [3, 4, 5, 6, 7, 8, 9])
+
+
 def test_index_pages(spark):
     assert c.index_url_table(spark, BASE, ["A", "Ł"]).count() == 2
     assert c.index_url_table(spark, BASE).select("index_url").distinct().count() == 30
@@ -214,6 +353,55 @@ def test_streams_equal_batches(spark, scratch):
     assert got.select("url").distinct().count() == 20
 
 
+def test_streams_compact_the_log_as_they_go(spark, scratch):
+    lists, details = many(spark)
+    folder, path, checkpoint = scratch("pages"), scratch("log"), scratch("checkpoint")
+    lists.select(*[F.col(f.name).cast(f.dataType) for f in PAGES]).repartitionByRange(6, "page_seq").write.parquet(folder)
+    jobs.ingest_stream(stream_pages(spark, folder, files_per_batch=1), path, checkpoint, compact_every=2).awaitTermination()
+    assert log.snapshot_of(spark, path).covers(LISTING_STAGE, 5) and scan_log(spark, path).count() == 20
+    log.drop_covered(spark, path)
+    assert scan_log(spark, path).count() == 20
+    with pytest.raises(ValueError, match="run_id"):  # used, though its folders are gone
+        jobs.ingest_stream(stream_pages(spark, folder), path, scratch("other"))
+
+
+def test_stream_dedupe_forgets_keys_behind_the_watermark(spark, scratch):
+    """Two thousand keys over time, a few at once: state holds those of the span, first rows come whole."""
+    folder = scratch("records")
+    schema = "url string, name string, n long, at timestamp"
+    for part in range(8):
+        rows = [(f"k{part * 50 + n % 50}", f"row {n}", part * 1000 + n, datetime.datetime(2026, 1, 1 + part)) for n in range(200)]
+        rows += [(f"k{part * 50}", "late again", part * 1000 - 900, datetime.datetime(2026, 1, 1 + part))] if part else []
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    records = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    known = spark.createDataFrame([("K3", "known")], "url string, name string")
+    first = jobs.stream_dedupe(records, seq="n", event_time="at", forget_after="2 days", known=known)
+    out = scratch("first")
+    query = (first.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch("checkpoint"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    span = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    got = {r.url: (r.name, r.n) for r in spark.read.parquet(out).collect()}
+    assert len(got) == 8 * 50 - 1 and "k3" not in got
+    assert got["k7"] == ("row 7", 7) and got["k50"] == ("late again", 100) and got["k51"] == ("row 1", 1001)
+    assert max(span) <= 5 * 50
+
+
+def test_state_versions_hold_only_what_changed(spark, scratch):
+    folder, out = scratch("events"), scratch("state")
+    schema = "index_url string, seq long, page long, html string, updated_at timestamp"
+    at = datetime.datetime(2026, 1, 1)
+    for rows in ([(f"i{n}", 1, 1, "<p>", at) for n in range(10)], [("i3", 2, 5, "<p>", at)], [("i3", 3, None, "", at), ("i4", 2, 2, "", at)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    state = jobs.stream_state(events, seq="seq")
+    jobs.write_state(state, out, scratch("checkpoint")).awaitTermination()
+    assert [spark.read.parquet(f"{out}/version={v}").count() for v in range(3)] == [10, 1, 2]
+    got = {r.index_url: (r.page, r.last_page) for r in jobs.read_state(spark, out, state.schema).collect()}
+    assert got == {f"i{n}": (1, 1) for n in range(10)} | {"i3": (5, None), "i4": (2, 2)}
+    assert "html" not in state.columns
+
+
 def test_a_new_checkpoint_needs_a_new_run(spark, scratch):
     lists, _ = many(spark)
     folder, path = scratch("pages"), scratch("log")

@@ -9,6 +9,7 @@ from vitarium.operators import records as r
 from vitarium.plans.linking import link_occupations
 from vitarium.schema import DETAIL_STAGE, LISTING_STAGE, LOG_ORDER, RECORD
 from vitarium.sources import csv_files, log, statements
+from vitarium.sources.pages import read_pages
 from vitarium.sources.tables import read_table
 
 
@@ -103,6 +104,17 @@ def test_statement_files(spark, scratch):
     assert sorted(items) == sorted(r.item_qid for r in out.collect())
 
 
+def test_pages_of_one_url_go_to_all_tasks(spark, scratch):
+    path = scratch("pages")
+    spark.range(4000).select(F.lit("https://one.test/").alias("url"), F.col("id").alias("page_seq"),
+                             F.sha2(F.col("id").cast("string"), 256).alias("salt")).withColumn(
+        "html", F.concat(*[F.sha2(F.concat("salt", F.lit(k)), 512) for k in range(40)])).drop("salt").coalesce(1).write.parquet(path)
+    spread = read_pages(spark, path)
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * 4000 / len(sizes)
+    assert "Exchange" not in read_pages(spark, path, spread=False)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_only_small_inputs_are_spread(spark, scratch):
     few, many = scratch("few"), scratch("many")
     spark.range(100).repartition(1).write.parquet(few)

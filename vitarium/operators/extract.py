@@ -114,27 +114,40 @@ class Search:
         return any(all(value in html for value in values) for values in self.literals)
 
 
+class _Found:
+    """What one search has found on a page, and the scope nodes that are open."""
+
+    def __init__(self, search: Search):
+        self.search = search
+        self.rows: list[dict[str, list]] = [] if search.scope else [search.empty_row()]
+        self.scopes: list[tuple[int, dict[str, list]]] = [] if search.scope else [(-1, self.rows[0])]
+
+
 class _Finder(HTMLParser):
-    """One pass over a page: matches rules as tags open, gathers text until they close.
+    """One pass over a page for any number of searches: matches rules as tags open, gathers text until they close.
 
-    The text of a node is all text below it, that of scripts and styles included."""
+    The text of a node is all text below it, that of scripts and styles included.  Where a tag
+    stands is looked up by its name, so tags that close nothing cost nothing, however deep the page.
+    """
 
     CDATA_CONTENT_ELEMENTS = ("script", "style", "noscript", "iframe", "noembed", "noframes", "xmp")
 
-    def __init__(self, search: Search):
+    def __init__(self, searches: Sequence[Search]):
         super().__init__(convert_charrefs=True)
-        self.search = search
-        self.rows: list[dict[str, list]] = [] if search.scope else [search.empty_row()]
-        self.open: list[tuple[dict, list[list[str]], dict | None]] = []
-        self.scopes: list[dict[str, list]] = [] if search.scope else [self.rows[0]]
+        self.found = [_Found(search) for search in searches]
+        self.open: list[dict] = []
+        self.places: dict[str, list[int]] = {}
+        self.texts: list[tuple[int, list[str]]] = []
 
     def _matches(self, chains, node) -> bool:
         for steps in chains:
             if _passes(node, steps[-1]):
                 wanted = len(steps) - 2
-                for above, _, _ in reversed(self.open):
-                    if wanted >= 0 and _passes(above, steps[wanted]):
+                for above in reversed(self.open) if wanted >= 0 else ():
+                    if _passes(above, steps[wanted]):
                         wanted -= 1
+                        if wanted < 0:
+                            break
                 if wanted < 0:
                     return True
         return False
@@ -142,6 +155,10 @@ class _Finder(HTMLParser):
     def updatepos(self, i, j):  # line numbers are not needed
         return j
 
+    def _last(self, tags) -> int:
+        """How deep the innermost open element of these names is; -1 without one."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
     @staticmethod
     def _take(node, rules, targets, texts):
         for rule in rules:
@@ -153,72 +170,89 @@ class _Finder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         ended, fences = IMPLIED_ENDS.get(tag, ((), ()))
-        for depth in range(len(self.open) - 1, -1, -1) if ended else ():
-            name = self.open[depth][0][""]
-            if name in fences:
-                break
-            if name in ended:
+        if ended:
+            depth = self._last(ended)
+            if depth > self._last(fences):
                 self._close(depth)
-                break
         node = {}
         for name, value in attrs:
             node.setdefault(name, value or "")
         node[""] = tag
-        row = None
-        if self.search.scope and self._matches(self.search.scope, node):
-            row = self.search.empty_row()
-            self.rows.append(row)
         texts: list[list[str]] = []
-        if row is not None:
-            self._take(node, self.search.own_rules, (row,), texts)
-        if self.scopes:
-            for chains, rules in self.search.groups:
-                if self._matches(chains, node):
-                    self._take(node, rules, self.scopes, texts)
-        if tag not in VOID:
-            self.open.append((node, texts, row))
-            if row is not None:
-                self.scopes = [*self.scopes, row]
+        depth, inside = len(self.open), tag not in VOID
+        for found in self.found:
+            search, row = found.search, None
+            if search.scope and self._matches(search.scope, node):
+                row = search.empty_row()
+                found.rows.append(row)
+                self._take(node, search.own_rules, (row,), texts)
+            if found.scopes:
+                for chains, rules in search.groups:
+                    if self._matches(chains, node):
+                        self._take(node, rules, [scope for _, scope in found.scopes], texts)
+            if row is not None and inside:
+                found.scopes.append((depth, row))
+        if inside:
+            self.open.append(node)
+            self.places.setdefault(tag, []).append(depth)
+            self.texts += [(depth, text) for text in texts]
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0][""] == tag:
-                self._close(depth)
-                return
+        depth = self._last((tag,))
+        if depth >= 0:
+            self._close(depth)
 
     def _close(self, depth: int):
-        for _, _, row in self.open[depth:]:
-            if row is not None:
-                self.scopes = [s for s in self.scopes if s is not row]
+        for node in self.open[depth:]:
+            self.places[node[""]].pop()
         del self.open[depth:]
+        while self.texts and self.texts[-1][0] >= depth:
+            self.texts.pop()
+        for found in self.found:
+            while found.scopes and found.scopes[-1][0] >= depth:
+                found.scopes.pop()
 
     def handle_data(self, data):
-        for _, texts, _ in self.open:
-            if texts:
-                for text in texts:
-                    text.append(data)
+        for _, text in self.texts:
+            text.append(data)
+
+
+def find_parts(html: str, searches: Sequence[Search], base: str | None = None) -> list[list[dict[str, list[str | None]]]]:
+    """Rows of one page for each search, from one pass over it; one row per scope node, or a single one without a scope."""
+    able = [search for search in searches if search.may_match(html)]
+    if able:
+        finder = _Finder(able)
+        finder.feed(html)
+        finder.close()
+        for found in finder.found:
+            for row in found.rows:
+                for rule in found.search.rules:
+                    values = ["".join(v) if isinstance(v, list) else v for v in row[rule.field]]
+                    if rule.resolve:
+                        values = [resolve_url(base, v) if v else v for v in values]
+                    row[rule.field] = values
+        able = {id(found.search): found.rows for found in finder.found}
+    return [able[id(s)] if able and id(s) in able else [] if s.scope else [s.empty_row()] for s in searches]
 
 
 def find_values(html: str, search: Search, base: str | None = None) -> list[dict[str, list[str | None]]]:
-    """Rows of one page: one per scope node, or a single one without a scope."""
-    if not search.may_match(html):
-        return [] if search.scope else [search.empty_row()]
-    finder = _Finder(search)
-    finder.feed(html)
-    finder.close()
-    for row in finder.rows:
-        for rule in search.rules:
-            values = ["".join(v) if isinstance(v, list) else v for v in row[rule.field]]
-            if rule.resolve:
-                values = [resolve_url(base, v) if v else v for v in values]
-            row[rule.field] = values
-    return finder.rows
+    """Rows of one page for one search."""
+    return find_parts(html, [search], base)[0]
 
 
 #: Upper bound on the HTML characters whose results sit in one output batch.
 BATCH_CHARS = 8_000_000
 
 
+@dataclass(frozen=True)
+class Part:
+    """One kind of rows to take from a page: its rules and, optionally, the node each row is about."""
+
+    name: str
+    rules: tuple[Rule, ...]
+    scope: str | None = None
+
+
 def extract(pages: DataFrame, rules: Sequence[Rule], *, scope: str | None = None,
             keep: Sequence[str] = ("url",), html: str = "html", base: str | None = None) -> DataFrame:
     """Applies the rules to every page.
@@ -228,30 +262,44 @@ def extract(pages: DataFrame, rules: Sequence[Rule], *, scope: str | None = None
     page that cannot be read gives one row with ``scope_pos`` NULL and the error.
     ``base`` names the column URLs are resolved against (default: ``url``).
     """
-    keep, rules = list(keep), list(rules)
+    return extract_parts(pages, [Part("", tuple(rules), scope)], keep=keep, html=html, base=base).drop("part")
+
+
+def extract_parts(pages: DataFrame, parts: Sequence[Part], *, keep: Sequence[str] = ("url",), html: str = "html",
+                  base: str | None = None) -> DataFrame:
+    """Applies several sets of rules to every page in one pass over it.
+
+    Gives ``keep`` columns, ``part`` (whose row it is), ``scope_pos``, one ``array<string>`` per field of any
+    part, NULL in rows of parts without it, and ``extract_error``.  A page that cannot be read
+    gives one row in all, with ``part`` and ``scope_pos`` NULL and the error.
+    """
+    keep, parts = list(keep), list(parts)
     base = base or "url"
-    columns = [*dict.fromkeys([*keep, *([base] if any(r.resolve for r in rules) else []), html])]
+    names = list(dict.fromkeys(rule.field for part in parts for rule in part.rules))
+    resolves = any(rule.resolve for part in parts for rule in part.rules)
+    columns = [*dict.fromkeys([*keep, *([base] if resolves else []), html])]
     kept = [pages.schema[c] for c in keep]
     schema = T.StructType(
         kept
-        + [T.StructField("scope_pos", T.IntegerType())]
-        + [T.StructField(r.field, T.ArrayType(T.StringType())) for r in rules]
+        + [T.StructField("part", T.StringType()), T.StructField("scope_pos", T.IntegerType())]
+        + [T.StructField(name, T.ArrayType(T.StringType())) for name in names]
         + [T.StructField("extract_error", T.StringType())]
     )
     strings = pa.list_(pa.string())
-    search = Search(rules, scope)
+    tags = [part.name for part in parts]
+    searches = [Search(part.rules, part.scope) for part in parts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            source, places, fields, errors, size = [], [], {r.field: [] for r in rules}, [], 0
+            source, kinds, places, errors, size = [], [], [], [], 0
+            fields: dict[str, list] = {name: [] for name in names}
 
             def flush():
                 rows = batch.select(keep).take(pa.array(source, pa.int64()))
-                arrays = [pa.array(places, pa.int32())]
-                arrays += [pa.array(fields[r.field], strings) for r in rules]
+                arrays = [pa.array(kinds, pa.string()), pa.array(places, pa.int32())]
+                arrays += [pa.array(fields[name], strings) for name in names]
                 arrays.append(pa.array(errors, pa.string()))
-                names = keep + ["scope_pos"] + [r.field for r in rules] + ["extract_error"]
-                return pa.RecordBatch.from_arrays([*rows.columns, *arrays], names=names)
+                return pa.RecordBatch.from_arrays([*rows.columns, *arrays], names=schema.names)
 
             bases = batch.column(base) if base in batch.schema.names else None
             for index, page in enumerate(batch.column(html)):
@@ -259,20 +307,22 @@ def extract(pages: DataFrame, rules: Sequence[Rule], *, scope: str | None = None
                 try:
                     if text is None:
                         raise ValueError("no html captured")
-                    found = find_values(text, search, bases[index].as_py() if bases is not None else None)
-                    error = None
+                    found = find_parts(text, searches, bases[index].as_py() if bases is not None else None)
+                    rows = [(tag, place, row, None) for tag, of in zip(tags, found) for place, row in enumerate(of)]
                 except Exception as problem:  # a bad page must not fail the job
-                    found, error = [dict.fromkeys(fields)], str(problem) or type(problem).__name__
-                for place, row in enumerate(found):
+                    rows = [(None, None, {}, str(problem) or type(problem).__name__)]
+                for tag, place, row, error in rows:
                     source.append(index)
-                    places.append(None if error else place)
+                    kinds.append(tag)
+                    places.append(place)
                     errors.append(error)
-                    for name in fields:
-                        fields[name].append(row[name])
+                    for name in names:
+                        fields[name].append(row.get(name))
                 size += len(text or "")
                 if size >= BATCH_CHARS:
                     yield flush()
-                    source, places, fields, errors, size = [], [], {r.field: [] for r in rules}, [], 0
+                    source, kinds, places, errors, size = [], [], [], [], 0
+                    fields = {name: [] for name in names}
             if source:
                 yield flush()
 

@@ -31,6 +31,30 @@ def listing_events(progress: DataFrame, *, page: str = "page", total_pages: str
     return progress.withColumn("completed", F.coalesce(F.col(page) >= F.col(total_pages), F.lit(False)))
 
 
+def listing_ends(progress: DataFrame, *, index_url: str = "index_url", page: str = "page", onward: str = "onward",
+                 seq: Seq = "seq") -> DataFrame:
+    """How far each index can be walked: ``reached``, the last page of the unbroken run that starts at page 1, and
+    ``ended``, whether the latest capture of that page links no further.
+
+    An index whose first page was not captured has no row.  A page and its successor meet in one aggregation:
+    each captured page is counted under its own number and asks for the next.
+    """
+    pages = progress.groupBy(index_url, F.col(page).cast("bigint").alias("no")).agg(
+        F.max_by(F.coalesce(F.col(onward), F.lit(True)), order_by(seq)).alias("onward"))
+    met = pages.select(index_url, F.explode(F.array(
+        F.struct("no", F.lit(True).alias("captured"), F.lit(None).cast("boolean").alias("linked")),
+        F.struct((F.col("no") + 1).alias("no"), F.lit(False).alias("captured"), F.col("onward").alias("linked")),
+    )).alias("p")).groupBy(index_url, "p.no").agg(F.max("p.captured").alias("captured"), F.max("p.linked").alias("linked"))
+    gap = F.when(~F.col("captured") & (F.col("no") > 1), F.col("no"))
+    return (
+        met.groupBy(index_url)
+        .agg(F.max((F.col("no") == 1) & F.col("captured")).alias("begun"), F.min(gap).alias("gap"),
+             F.min_by("linked", gap).alias("linked"))
+        .filter("begun")
+        .select(index_url, (F.col("gap") - 1).alias("reached"), (~F.col("linked")).alias("ended"))
+    )
+
+
 def resume_points(index_urls: DataFrame, state: DataFrame, *, index_url: str = "index_url") -> DataFrame:
     """Index pages still to read and where to start: after the saved page if its number
     and HTML were saved, else at page 1.

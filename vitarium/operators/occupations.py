@@ -8,7 +8,11 @@ candidates.  No pair that can reach the threshold is missed:
 * alias inside label - the label holds the alias's first letters (``GRAM`` or fewer);
 * label inside alias - the alias holds the label's first ``GRAM`` letters;
 * shared words - of the ``m`` words of an alias that needs ``k`` of them, at least
-  one of any ``m - k + 1`` must be shared; the longest are taken, being rarest.
+  one of any ``m - k + 1`` must be shared; those that fewest labels hold are taken.
+
+What is joined are numbers: a hash for the label, one for the anchor, and the place of the
+alias.  Texts come back once the pairs are distinct.  Equal hashes of different texts or anchors
+only make candidates, and a candidate counts by its score.
 """
 
 from __future__ import annotations
@@ -23,12 +27,12 @@ from pyspark.sql import functions as F
 from vitarium import fixed
 from vitarium.functions.text import first_truthy, match_key, qs_date, qs_quote, split_activities
 from vitarium.operators.records import Seq
-from vitarium.operators.skew import HOT_ROWS, lookup_join, seq_columns
+from vitarium.operators.skew import lookup_join, seq_columns
 from vitarium.schema import SEEDS
 
 GRAM = 6
-#: The anchor table is broadcast up to this many rows and shuffled beyond.
-BROADCAST_ANCHORS = 200_000
+#: What tells one alias from another.
+ALIAS = ["seed_pos", "alias_pos"]
 
 
 def occupation_seeds(spark: SparkSession, seeds: Sequence[tuple[str, str, list[str]]] | None = None) -> DataFrame:
@@ -98,66 +102,76 @@ def _tagged(tag: str, values: Column) -> Column:
     return F.transform(values, lambda value: F.concat(F.lit(tag), value))
 
 
-def _anchors(model: DataFrame, head_size: int, min_confidence: float) -> DataFrame:
-    total = F.size("alias_tokens")
+def _hashed(df: DataFrame, *ids: Column | str, anchors: Column) -> DataFrame:
+    """One row per id and anchor, as numbers."""
+    return df.select(*ids, F.explode(anchors).alias("anchor")).select(
+        *[c for c in df.select(*ids).columns], F.xxhash64("anchor").alias("anchor"))
+
+
+def _rare_words(labels: DataFrame, model: DataFrame, min_confidence: float) -> DataFrame:
+    """Words of each alias, of which a label must hold one if shared words are to reach the threshold.
+
+    Counts how many labels hold each word of the vocabulary; an alias publishes the rarest.
+    """
+    words = model.select(*ALIAS, F.size("alias_tokens").alias("total"), F.explode("alias_tokens").alias("word"))
+    have = labels.select(F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
+    counts = have.join(words.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    total = F.col("total")
     reaching = F.filter(
         F.sequence(F.lit(1), total),
         lambda k: rounded(_token_score(k, total)) >= min_confidence,
     )
     needed = F.get(reaching, F.lit(0))  # NULL if shared words alone cannot reach the threshold
-    longest = F.transform(
-        F.array_sort(F.transform("alias_tokens", lambda word: F.struct((-F.length(word)).alias("n"), word.alias("w")))),
-        lambda entry: entry["w"],
-    )
-    anchors = F.concat(
-        _tagged("=", F.slice(longest, F.lit(1), F.coalesce(total - needed + 1, F.lit(0)))),
+    rarest = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")))
+    ranked = words.join(counts, "word", "left").groupBy(*ALIAS, "total").agg(rarest.alias("ranked"))
+    published = F.slice("ranked", F.lit(1), F.coalesce(total - needed + 1, F.lit(0)))
+    return ranked.select(*ALIAS, F.explode(F.array_distinct(F.transform(published, lambda entry: entry["word"]))).alias("word"))
+
+
+def candidates(labels: DataFrame, model: DataFrame, min_confidence: float) -> DataFrame:
+    """Pairs ``(label_id, seed_pos, alias_pos)`` that may reach the threshold, each once."""
+    lengths = [r[0] for r in model.select(F.least(F.length("alias"), F.lit(GRAM))).distinct().collect()]  # at most GRAM rows
+    if not lengths:
+        raise ValueError("the occupation model has no aliases")
+    # without very short aliases one head length serves all and labels publish fewer grams
+    head_size = min(lengths) if min(lengths) >= 4 else GRAM
+    heads = sorted({min(length, head_size) for length in lengths})
+    rare = _rare_words(labels, model, min_confidence).select(*ALIAS, F.xxhash64(F.concat(F.lit("="), "word")).alias("anchor"))
+    letters = F.concat(
         F.array(F.substring("alias", 1, head_size)),
         _tagged("<", _grams(F.col("alias"), range(1, GRAM + 1))),
     )
-    return model.select(
-        "seed_pos", "qid", "label", "alias", "alias_tokens", F.explode(F.array_distinct(anchors)).alias("anchor"))
-
-
-def _probes(labels: DataFrame, head_sizes: Sequence[int]) -> DataFrame:
-    anchors = F.concat(
+    anchors = _hashed(model, *ALIAS, anchors=letters).unionByName(rare).distinct()
+    probes = _hashed(labels, label_id(), anchors=F.concat(
         _tagged("=", F.split("text", " ")),
-        _grams(F.col("text"), head_sizes),
+        _grams(F.col("text"), heads),
         F.array(F.concat(F.lit("<"), F.substring("text", 1, GRAM))),
-    )
-    return labels.select("*", F.explode(F.array_distinct(anchors)).alias("anchor"))
+    ))
+    return probes.join(anchors, "anchor").select("label_id", *ALIAS).distinct()
 
 
-def match_labels(labels: DataFrame, model: DataFrame, *, min_confidence: float = fixed.MIN_CONFIDENCE,
-                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def label_id() -> Column:
+    return F.xxhash64("text").alias("label_id")
+
+
+def match_labels(labels: DataFrame, model: DataFrame, *, min_confidence: float = fixed.MIN_CONFIDENCE) -> DataFrame:
     """Occupations of each distinct normalised label (column ``text``).
 
-    Gives the columns of ``labels`` and ``seed_pos, qid, label, confidence`` where the
+    Gives ``text`` and ``seed_pos, qid, label, confidence`` where the
     best alias reaches ``min_confidence``.  If a qid occurs in several seeds, the first
     that does counts.
     """
     if not min_confidence > 0 or math.isinf(min_confidence):
         raise ValueError("min_confidence must be above 0: at 0 every label pairs with every occupation")
-    anchor_rows, lengths = model.agg(
-        F.sum(F.length("alias") * GRAM + F.size("alias_tokens") + 1),
-        F.sort_array(F.collect_set(F.least(F.length("alias"), F.lit(GRAM)))),
-    ).first()
-    if not anchor_rows:
-        raise ValueError("the occupation model has no aliases")
-    # without very short aliases one head length serves all and labels publish fewer grams
-    head_size = lengths[0] if lengths[0] >= 4 else GRAM
-    anchors = _anchors(model, head_size, min_confidence)
-    probes = _probes(labels, sorted({min(length, head_size) for length in lengths}))
-    if anchor_rows <= BROADCAST_ANCHORS:
-        candidates = probes.join(F.broadcast(anchors), "anchor")
-    else:
-        candidates = lookup_join(probes, anchors, "anchor", how="inner", spread_by=["text"], hot_rows=hot_rows)
+    pairs = candidates(labels, model, min_confidence)
+    texts = labels.select(label_id(), "text")
     return (
-        score(candidates)
-        .groupBy(*labels.columns, "seed_pos", "qid", "label")
+        score(pairs.join(texts, "label_id").join(model, ALIAS))
+        .groupBy("text", "seed_pos", "qid", "label")
         .agg(F.max("confidence").alias("confidence"))
         # after the aggregation, because before it the filter would score every pair twice
         .filter(F.col("confidence") >= min_confidence)
-        .groupBy(*labels.columns, "qid")
+        .groupBy("text", "qid")
         .agg(
             F.min("seed_pos").alias("seed_pos"),
             F.min_by("label", "seed_pos").alias("label"),
@@ -182,7 +196,7 @@ def activity_pieces(records: DataFrame, *, record_id: Seq, activity: str = "acti
 
 
 def suggest(records: DataFrame, model: DataFrame, *, record_id: Seq, activity: str = "activity",
-            min_confidence: float = fixed.MIN_CONFIDENCE, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+            min_confidence: float = fixed.MIN_CONFIDENCE) -> DataFrame:
     """Occupation suggestions of each record, ranked from 1.
 
     Ranked by confidence, then label in Polish order, then as met.  ``record_id``
@@ -190,10 +204,9 @@ def suggest(records: DataFrame, model: DataFrame, *, record_id: Seq, activity: s
     """
     ids = seq_columns(record_id)
     pieces = activity_pieces(records, record_id=ids, activity=activity)
-    labels = pieces.groupBy("text").agg(F.count("*").alias("n"))
-    matches = match_labels(labels, model, min_confidence=min_confidence, hot_rows=hot_rows)
-    found = lookup_join(pieces, matches, "text", how="inner", spread_by=[*ids, "piece_pos"],
-                        hot_rows=hot_rows, counts=labels).drop("n")
+    labels = pieces.select("text").distinct()
+    matches = match_labels(labels, model, min_confidence=min_confidence)
+    found = lookup_join(pieces, matches, "text", how="inner")
     order = Window.partitionBy(*ids).orderBy(
         F.col("confidence").desc(), F.collate("label", "pl"), "piece_pos", "seed_pos")
     return found.select(

@@ -1,15 +1,19 @@
-"""Rule sets for the pages of a biography catalogue."""
+"""Rule sets for the pages of a biography catalogue.
+
+Every operator takes captured pages, or what :func:`parse_pages` made of them: pages parsed
+once for everything, of which each operator picks its own rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitarium import fixed
 from vitarium.functions.text import first_text, first_truthy, join_labels, leading_int, normalize_text
-from vitarium.operators.extract import Rule, extract
+from vitarium.operators.extract import Part, Rule, extract, extract_parts
 
 CARD_RULES = [
     Rule("names", fixed.CARD_NAME_LINK),
@@ -27,8 +31,42 @@ DETAIL_RULES = [
     Rule("tags", fixed.HEADER_TAGS),
     Rule("description", fixed.DESCRIPTION),
 ]
-PAGER_RULES = [Rule("links", fixed.PAGER_LINKS), Rule("spans", fixed.PAGER_CURRENT)]
+PAGER_RULES = [Rule("links", fixed.PAGER_LINKS), Rule("link_ids", fixed.PAGER_LINKS, attr="id"), Rule("spans", fixed.PAGER_CURRENT)]
 PAGER_LINK_RULES = [Rule("ids", "", attr="id"), Rule("labels", "")]
+INDEX_RULES = [Rule("hrefs", fixed.INDEX_LINKS, attr="href", resolve=True)]
+CARDS = Part("card", tuple(CARD_RULES), fixed.CARD)
+PAGER = Part("pager", tuple(PAGER_RULES))
+PAGER_LINKS = Part("pager_link", tuple(PAGER_LINK_RULES), fixed.PAGER_LINKS)
+INDEX = Part("index", tuple(INDEX_RULES))
+DETAILS = Part("detail", tuple(DETAIL_RULES))
+LISTING_PARTS = (CARDS, PAGER, PAGER_LINKS, INDEX)
+
+
+def http_error(status: str, url: str) -> Column:
+    """What is noted of a page that was answered with an error status."""
+    return F.concat(F.lit("HTTP "), F.col(status).cast("string"), F.lit(" for "), F.col(url))
+
+
+def parse_pages(pages: DataFrame, parts: Sequence[Part] = LISTING_PARTS, *, keep: Sequence[str] = ("url",),
+                base: str = "url") -> DataFrame:
+    """Pages parsed once: the rows of every part, told apart by ``part``, and one error row for each page that cannot
+    be read or was answered with an error status.  Write it, and all that is asked of the pages comes from there."""
+    if "status" not in pages.columns:
+        return extract_parts(pages, parts, keep=keep, base=base)
+    bad = ~F.coalesce(F.col("status").between(200, 299), F.lit(True))
+    answered = pages.withColumn("html", F.when(~bad, F.col("html"))).withColumn(
+        "__answer", F.when(bad, http_error("status", "url")))
+    parsed = extract_parts(answered, parts, keep=[*keep, "__answer"], base=base)
+    return parsed.withColumn("extract_error", F.coalesce("__answer", "extract_error")).drop("__answer")
+
+
+def _rows(pages: DataFrame, part: Part, keep: Sequence[str], base: str = "url") -> DataFrame:
+    """The rows of one part, and those of pages that cannot be read."""
+    if "part" not in pages.columns:
+        return extract(pages, part.rules, scope=part.scope, keep=keep, base=base)
+    fields = list(dict.fromkeys(rule.field for rule in part.rules))
+    wanted = pages.filter((F.col("part") == part.name) | F.col("part").isNull())
+    return wanted.select(*keep, "scope_pos", *fields, "extract_error")
 
 
 def listing_cards(pages: DataFrame, *, keep: Sequence[str] = ("url",), base: str = "url",
@@ -37,7 +75,7 @@ def listing_cards(pages: DataFrame, *, keep: Sequence[str] = ("url",), base: str
 
     A card without a link has an empty ``url`` and is still a row.
     """
-    found = extract(pages, CARD_RULES, scope=fixed.CARD, keep=keep, base=base)
+    found = _rows(pages, CARDS, keep, base)
     kept = [F.col(c).alias(page_url if c == "url" else c) for c in keep]
     has_link = F.coalesce(F.get("hrefs", F.lit(0)), F.lit("")) != ""
     return found.filter(F.col("scope_pos").isNotNull()).select(
@@ -52,7 +90,7 @@ def listing_cards(pages: DataFrame, *, keep: Sequence[str] = ("url",), base: str
 
 def page_errors(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFrame:
     """Pages that cannot be read, with the reason; the other operators have no rows for them."""
-    found = extract(pages, [Rule("root", "html")], keep=keep)
+    found = pages.filter(F.col("part").isNull()) if "part" in pages.columns else extract(pages, [Rule("root", "html")], keep=keep)
     return found.filter(F.col("extract_error").isNotNull()).select(*keep, F.col("extract_error").alias("error"))
 
 
@@ -61,7 +99,7 @@ def detail_fields(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFr
 
     A page that cannot be read has only ``biography_url`` and ``biography_error``.
     """
-    found = extract(pages, DETAIL_RULES, keep=keep)
+    found = _rows(pages, DETAILS, keep)
     full_name = normalize_text(F.concat_ws(" ", first_text("given"), first_text("family")))
     fine = F.col("extract_error").isNull()
 
@@ -83,25 +121,36 @@ def detail_fields(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFr
 def index_links(pages: DataFrame, *, selector: str = fixed.INDEX_LINKS, keep: Sequence[str] = ("url",),
                 base: str = "url", alias: str = "index_url") -> DataFrame:
     """Distinct absolute links under ``selector``, numbered per page as first seen."""
-    rules = [Rule("hrefs", selector, attr="href", resolve=True)]
-    found = extract(pages, rules, keep=keep, base=base)
+    found = _rows(pages, Part("index", (Rule("hrefs", selector, attr="href", resolve=True),)), keep, base)
     links = F.array_distinct(F.filter("hrefs", lambda h: h != ""))
     return found.select(*keep, F.posexplode(links).alias("link_pos", alias))
 
 
-def pager_summary(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFrame:
-    """Highest page number any pager entry shows, and the current one; 1 if none does."""
-    found = extract(pages, PAGER_RULES, keep=keep)
+def pager_summary(pages: DataFrame, *, keep: Sequence[str] = ("url",), onward: bool = False) -> DataFrame:
+    """Highest page number any pager entry shows, and the current one; 1 if none does.
+
+    ``onward`` adds whether the page links any further: to the number after the current one, or by ``>``.
+    """
+    found = _rows(pages, PAGER, keep)
 
     def highest(labels):
         numbers = F.transform(labels, lambda label: leading_int(normalize_text(label)))
         return F.coalesce(F.array_max(numbers), F.lit(1).cast("bigint"))
 
-    return found.filter(F.col("extract_error").isNull()).select(
+    summary = found.filter(F.col("extract_error").isNull()).select(
         *keep,
         highest(F.concat("links", "spans")).alias("total_pages"),
         highest(F.col("spans")).alias("current_page"),
+        "links", "link_ids",
     )
+    if onward:
+        def leads(link):
+            label = normalize_text(link["links"])
+            next_page = label.rlike("^[0-9]+$") & (label.try_cast("bigint") == F.col("current_page") + 1)
+            return (F.coalesce(link["link_ids"], F.lit("")) != "") & (next_page | (label == fixed.PAGER_NEXT_LABEL))
+
+        summary = summary.withColumn("onward", F.coalesce(F.exists(F.arrays_zip("links", "link_ids"), leads), F.lit(False)))
+    return summary.drop("links", "link_ids")
 
 
 def pager_links(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFrame:
@@ -110,7 +159,7 @@ def pager_links(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFram
     ``page_no`` is NULL for ``>``.  Of several links with one label the last counts.
     ``target`` is the form target the id stands for.
     """
-    found = extract(pages, PAGER_LINK_RULES, scope=fixed.PAGER_LINKS, keep=keep)
+    found = _rows(pages, PAGER_LINKS, keep)
     links = found.select(
         *keep, "scope_pos", F.get("ids", F.lit(0)).alias("dom_id"), first_text("labels").alias("label")
     ).filter(

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitarium.functions.urls import with_record_key
-from vitarium.operators.skew import HOT_ROWS, lookup_join, order_by, seq_columns
+from vitarium.operators.pages import http_error
+from vitarium.operators.skew import lookup_join, order_by, seq_columns
 
 Seq = str | Sequence[str]
 
@@ -44,12 +45,15 @@ def merge_records(df: DataFrame, *, seq: Seq, key: str = "record_key") -> DataFr
     return keyed.groupBy(key).agg(*latest, F.min(order).alias("first_seq"))
 
 
-def compact_latest(df: DataFrame, *, seq: Seq, key: str = "record_key") -> DataFrame:
-    """The latest whole row of each key, NULLs included, with ``first_seq``."""
+def compact_latest(df: DataFrame, *, seq: Seq, key: str = "record_key", first: str | None = None) -> DataFrame:
+    """The latest whole row of each key, NULLs included, with ``first_seq``.
+
+    ``first`` names a column with the first position of rows that were compacted before.
+    """
     order = order_by(seq)
     rows = _keyed(df, key).groupBy(key).agg(
-        F.max_by(F.struct(*[c for c in df.columns if c != key]), order).alias("row"),
-        F.min(order).alias("first_seq"),
+        F.max_by(F.struct(*[c for c in df.columns if c not in (key, first)]), order).alias("row"),
+        F.min(order if first is None else F.col(first)).alias("first_seq"),
     )
     return rows.select(key, "row.*", "first_seq")
 
@@ -127,14 +131,13 @@ def detail_frontier(records: DataFrame, *, seq: Seq, done: DataFrame | None = No
 
 
 def enrich(records: DataFrame, details: DataFrame, *, url: str = "url", detail_key: str = "biography_url",
-           seq: Seq | None = None, how: str = "left", spread_by: Sequence[str] | None = None,
-           hot_rows: int | None = HOT_ROWS) -> DataFrame:
+           seq: Seq | None = None, how: str = "left", spread_by: Sequence[str] | None = None) -> DataFrame:
     """Puts the details of its URL on every record; values present there win.
 
     The join is on the URL as written, so rows that share one share its details, and
     rows without one pass unchanged.  ``details`` has one row per ``detail_key`` or,
     with ``seq``, its latest row counts.  ``spread_by`` names columns that tell
-    records of one URL apart (default: all).
+    records without a URL apart (default: all).
     """
     if seq is not None:
         columns = [c for c in details.columns if c not in (detail_key, *seq_columns(seq))]
@@ -148,10 +151,7 @@ def enrich(records: DataFrame, details: DataFrame, *, url: str = "url", detail_k
         F.col(detail_key).alias("__url"),
         *[F.col(c).alias(f"__d_{c}") for c in fields],
     )
-    joined = lookup_join(
-        records.withColumn("__url", F.col(url)), right, "__url",
-        how=how, spread_by=spread_by, hot_rows=hot_rows,
-    )
+    joined = lookup_join(records.withColumn("__url", F.col(url)), right, "__url", how=how, spread_by=spread_by)
     merged = [F.coalesce(f"__d_{c}", c).alias(c) if c in fields else F.col(c) for c in records.columns]
     added = [F.col(f"__d_{c}").alias(c) for c in fields if c not in records.columns]
     return joined.select(*merged, *added)
@@ -170,11 +170,6 @@ def details_of_existing(existing: DataFrame, *, seq: Seq, url: str = "url") -> D
     return rows.select("detail_url", "row.*")
 
 
-def http_error(status: str, url: str) -> Column:
-    """What is noted of a page that was answered with an error status."""
-    return F.concat(F.lit("HTTP "), F.col(status).cast("string"), F.lit(" for "), F.col(url))
-
-
 def capture_errors(frontier: DataFrame, pages: DataFrame, *, seq: Seq, url: str = "url",
                    status: str = "status") -> DataFrame:
     """Error rows for frontier URLs whose latest capture has a status outside 200-299.

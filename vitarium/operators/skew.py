@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key with at least this many rows is split; each split takes about this many.
-HOT_ROWS = 1_000_000
-#: At most this many keys are split, so the table broadcast for it has at most that many
-#: rows of two numbers.  Keys beyond it stay whole in the result; they just are not split.
-MAX_HOT_KEYS = 4096
 #: Rows that can match nothing are spread over this many hash values.
 UNMATCHED_SPREAD = 4096
 
@@ -25,56 +20,21 @@ def seq_columns(seq: str | Sequence[str]) -> list[str]:
     return [seq] if isinstance(seq, str) else list(seq)
 
 
-def hot_keys(counts: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Hashes of the keys to split and into how many parts, from ``counts(key, n)``.
-
-    Two keys of one hash are split alike, which does no harm.
-    """
-    return (
-        counts.filter(F.col("n") >= hot_rows)
-        .orderBy(F.col("n").desc(), key)
-        .limit(MAX_HOT_KEYS)
-        .groupBy(F.xxhash64(key).alias("__hash"))
-        .agg(F.max(F.ceil(F.col("n") / hot_rows)).cast("int").alias("__parts"))
-    )
-
-
 def lookup_join(left: DataFrame, right: DataFrame, key: str, *, how: str = "left",
-                spread_by: Sequence[str] | None = None, hot_rows: int | None = HOT_ROWS,
-                counts: DataFrame | None = None) -> DataFrame:
+                spread_by: Sequence[str] | None = None) -> DataFrame:
     """Equi-join of a large table that may be skewed on ``key`` with a lookup table.
 
-    Rows of a hot key are split by a hash of ``spread_by`` (default: all columns of
-    ``left``) and the matching lookup rows repeated once per split.  NULL and empty
-    keys never match; with ``how="left"`` they are kept and spread out.  ``counts``
-    may supply ready ``(key, n)`` row counts of ``left``, and ``right`` may carry its
-    ``n`` too, so that both come out of one aggregation.  ``hot_rows=None`` is for a
-    ``left`` without repeated keys: a plain join that can reuse partitionings.
-    Whether the lookup is small enough to broadcast is left to the sizes adaptive
-    execution sees at run time.
+    One plain join: neither side is read or counted beforehand.  Its keys appear in no later
+    grouping, so adaptive execution is free to split the partitions of hot keys, however many
+    there are, by the sizes it sees after the shuffle, and to broadcast a small lookup.
+    NULL and empty keys never match; with ``how="left"`` their rows are kept and dealt out by a
+    hash of ``spread_by`` (default: all columns of ``left``), since they alone would all hash alike.
     """
     usable = F.coalesce(F.col(key) != "", F.lit(False))
     right = right.filter(usable)
     if how == "inner":
-        left = left.filter(usable)
-    if hot_rows is None:
-        return left.join(right, key, how)
-    if counts is None:
-        counts = left.filter(usable).groupBy(key).agg(F.count("*").alias("n"))
-    hot = F.broadcast(hot_keys(counts, key, hot_rows))
-    spread = F.xxhash64(*(spread_by or left.columns))
-    part = F.when(F.col("__parts").isNotNull(), F.pmod(spread, "__parts")).otherwise(F.lit(0))
-    if how == "left":
-        part = F.when(usable, part).otherwise(F.pmod(spread, F.lit(UNMATCHED_SPREAD)))
-    left = (
-        left.withColumn("__hash", F.xxhash64(key)).join(hot, "__hash", "left")
-        .withColumn("__part", part.cast("int")).drop("__hash", "__parts")
-    )
-    repeats = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
-    if "n" in right.columns:  # using it keeps both counts the same aggregation
-        repeats = F.when(F.col("n") < hot_rows, F.array(F.lit(0))).otherwise(repeats)
-    right = (
-        right.withColumn("__hash", F.xxhash64(key)).join(hot, "__hash", "left")
-        .withColumn("__part", F.explode(repeats)).drop("__hash", "__parts")
-    )
+        return left.filter(usable).join(right, key, how)
+    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(UNMATCHED_SPREAD))
+    left = left.withColumn("__part", F.when(usable, F.lit(0)).otherwise(spread).cast("int"))
+    right = right.withColumn("__part", F.lit(0))
     return left.join(right, [key, "__part"], how).drop("__part")

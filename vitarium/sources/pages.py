@@ -6,12 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitarium.schema import PAGES
-from vitarium.sources.tables import read_table
 
 
-def read_pages(spark: SparkSession, path: str, spread_by: str | None = "url") -> DataFrame:
-    """Pages of a parquet table.  Parsing is the costly step, so few files are spread out."""
-    return read_table(spark, path, spread_by=spread_by)
+#: Bytes of stored pages that one task should parse.
+TASK_BYTES = 1 << 20
+
+
+def read_pages(spark: SparkSession, path: str, *, spread: bool = True) -> DataFrame:
+    """Pages of a parquet table.
+
+    Parsing is the costly step.  If the scan has fewer partitions than the table's bytes are worth, up to the
+    session's cores, rows are dealt out by a hash of the whole row, so pages of one url go to all tasks.
+    ``spread=False`` leaves rows where they are, for queries that do not parse.
+    """
+    pages = spark.read.parquet(path)
+    if not spread:
+        return pages
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    if pages.rdd.getNumPartitions() >= wanted:
+        return pages
+    return pages.repartition(wanted, F.xxhash64(*(F.col(f"`{c}`") for c in pages.columns)))
 
 
 def stream_pages(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
