@@ -31,6 +31,8 @@ from vitarium.operators.skew import lookup_join, seq_columns
 from vitarium.schema import SEEDS
 
 GRAM = 6
+#: The bit map of anchors has this many words of 64 bits.
+MAP_WORDS = 1 << 12
 #: What tells one alias from another.
 ALIAS = ["seed_pos", "alias_pos"]
 
@@ -104,50 +106,74 @@ def _tagged(tag: str, values: Column) -> Column:
 
 def _hashed(df: DataFrame, *ids: Column | str, anchors: Column) -> DataFrame:
     """One row per id and anchor, as numbers."""
-    return df.select(*ids, F.explode(anchors).alias("anchor")).select(
-        *[c for c in df.select(*ids).columns], F.xxhash64("anchor").alias("anchor"))
+    names = df.select(*ids).columns
+    return df.select(*ids, F.explode(anchors).alias("anchor")).select(*names, F.xxhash64("anchor").alias("anchor"))
 
 
-def _rare_words(labels: DataFrame, model: DataFrame, min_confidence: float) -> DataFrame:
+def _place(anchor: Column) -> tuple[Column, Column]:
+    """Word and bit of the map that stand for an anchor."""
+    return (F.shiftright(anchor, 6).bitwiseAND(F.lit(MAP_WORDS - 1)).cast("int"), anchor.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _survey(model: DataFrame) -> tuple[list[int], Column]:
+    """How short the aliases are, and a test whether a number may be an anchor of one.
+
+    The test looks at a bit map of fixed size, which reaches the driver as one number per word.  Most of what labels
+    publish is no anchor of any alias and goes no further than this.  With a larger vocabulary
+    more bits are set and more goes on to the join, which decides.
+    """
+    heads = F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.substring(F.col("alias"), F.lit(1), n))
+    every = F.concat(_tagged("=", F.col("alias_tokens")), _tagged("<", _grams(F.col("alias"), range(1, GRAM + 1))), heads)
+    word, bit = _place(F.col("anchor"))
+    rows = _hashed(model, F.least(F.length("alias"), F.lit(GRAM)).alias("size"), anchors=every).groupBy(word.alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)), F.collect_set("size")).collect()
+    bits = {r[0]: r[1] for r in rows}
+    # one constant, folded into an array when the query is planned
+    table = F.split(F.lit(",".join(str(bits.get(n, 0)) for n in range(MAP_WORDS))), ",").cast("array<bigint>")
+    return sorted({size for r in rows for size in r[2]}), F.getbit(F.get(table, word), bit) == 1
+
+
+def _rare_words(hits: DataFrame, model: DataFrame, min_confidence: float) -> DataFrame:
     """Words of each alias, of which a label must hold one if shared words are to reach the threshold.
 
-    Counts how many labels hold each word of the vocabulary; an alias publishes the rarest.
+    ``hits`` says how often labels hold each word of the vocabulary; an alias publishes the rarest.
     """
-    words = model.select(*ALIAS, F.size("alias_tokens").alias("total"), F.explode("alias_tokens").alias("word"))
-    have = labels.select(F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
-    counts = have.join(words.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    words = model.select(*ALIAS, F.size("alias_tokens").alias("total"), F.explode(_tagged("=", F.col("alias_tokens"))).alias("word"))
+    words = words.select(*ALIAS, "total", F.xxhash64("word").alias("anchor"))
     total = F.col("total")
     reaching = F.filter(
         F.sequence(F.lit(1), total),
         lambda k: rounded(_token_score(k, total)) >= min_confidence,
     )
     needed = F.get(reaching, F.lit(0))  # NULL if shared words alone cannot reach the threshold
-    rarest = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")))
-    ranked = words.join(counts, "word", "left").groupBy(*ALIAS, "total").agg(rarest.alias("ranked"))
+    counts = hits.groupBy("anchor").agg(F.count("label_id").alias("n"))
+    rarest = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "anchor")))
+    ranked = words.join(counts, "anchor", "left").groupBy(*ALIAS, "total").agg(rarest.alias("ranked"))
     published = F.slice("ranked", F.lit(1), F.coalesce(total - needed + 1, F.lit(0)))
-    return ranked.select(*ALIAS, F.explode(F.array_distinct(F.transform(published, lambda entry: entry["word"]))).alias("word"))
+    return ranked.select(*ALIAS, F.explode(F.array_distinct(F.transform(published, lambda entry: entry["anchor"]))).alias("anchor"))
 
 
 def candidates(labels: DataFrame, model: DataFrame, min_confidence: float) -> DataFrame:
     """Pairs ``(label_id, seed_pos, alias_pos)`` that may reach the threshold, each once."""
-    lengths = [r[0] for r in model.select(F.least(F.length("alias"), F.lit(GRAM))).distinct().collect()]  # at most GRAM rows
+    lengths, may_be_anchor = _survey(model)
     if not lengths:
         raise ValueError("the occupation model has no aliases")
     # without very short aliases one head length serves all and labels publish fewer grams
-    head_size = min(lengths) if min(lengths) >= 4 else GRAM
+    head_size = lengths[0] if lengths[0] >= 4 else GRAM
     heads = sorted({min(length, head_size) for length in lengths})
-    rare = _rare_words(labels, model, min_confidence).select(*ALIAS, F.xxhash64(F.concat(F.lit("="), "word")).alias("anchor"))
-    letters = F.concat(
+    lettered = _hashed(model, *ALIAS, anchors=F.array_distinct(F.concat(
         F.array(F.substring("alias", 1, head_size)),
         _tagged("<", _grams(F.col("alias"), range(1, GRAM + 1))),
-    )
-    anchors = _hashed(model, *ALIAS, anchors=letters).unionByName(rare).distinct()
+    )))
     probes = _hashed(labels, label_id(), anchors=F.concat(
         _tagged("=", F.split("text", " ")),
         _grams(F.col("text"), heads),
         F.array(F.concat(F.lit("<"), F.substring("text", 1, GRAM))),
     ))
-    return probes.join(anchors, "anchor").select("label_id", *ALIAS).distinct()
+    # one exchange, counted for rarity and joined
+    hits = probes.filter(may_be_anchor).repartition("anchor")
+    anchors = lettered.unionByName(_rare_words(hits, model, min_confidence))
+    return hits.join(anchors, "anchor").select("label_id", *ALIAS).distinct()
 
 
 def label_id() -> Column:
