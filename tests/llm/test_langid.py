@@ -65,11 +65,60 @@ def test_held_out_accuracy_and_contract(spark, labelled):
     assert {r.doc_id for r in got if r.rejected} == {900, 901, 902}
 
 
-def test_foreign_script_scores_lower(spark, labelled):
+UNSEEN = ["zo", "kra", "pli", "wux", "ygg"]
+
+
+def strange(kind, rng):
+    if kind == "script":
+        return "жук пёс дом вода лес река " * 5
+    if kind == "signs":
+        return "日本語の文章は漢字とかなで書かれています。" * 3
+    if kind == "letters":
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60))
+    if kind == "shuffled":
+        return langid._shuffled(text_of(rng, "bb"))
+    return " ".join("".join(rng.choice(UNSEEN) for _ in range(rng.randint(1, 3))) for _ in range(60))
+
+
+def test_what_is_no_known_language_is_rejected(spark, labelled):
+    df, _ = labelled
+    rng = random.Random(9)
+    kinds = ["script", "signs", "letters", "shuffled", "unseen"]
+    odd = spark.createDataFrame([(i, strange(kinds[i % 5], rng)) for i in range(50)], "doc_id bigint, text string")
+    model = langid.fit(df)
+    got = {r.doc_id: r.rejected for r in langid.predict(odd, model).collect()}
+    assert all(got.values()), [kinds[i % 5] for i, r in got.items() if not r]
+    assert langid.accepted(odd, model).count() == 0
+
+
+def test_clean_held_out_rows_stay(spark, labelled):
+    df, _ = labelled
+    rng = random.Random(11)
+    clean = spark.createDataFrame([(5000 + i, text_of(rng, rng.choice("abc") * 2, rng.choice([30, 60, 400]))) for i in range(600)],
+                                  "doc_id bigint, text string")
+    assert langid.predict(clean, langid.fit(df)).filter("rejected").count() < 6
+
+
+def test_each_language_is_foreign_to_the_others(spark, labelled):
+    """Learned without one language, its rows are rejected."""
+    df, _ = labelled
+    for lang in ("aa", "bb", "cc"):
+        model = langid.fit(df.filter(df.lang != lang))
+        assert model.languages == sorted({"aa", "bb", "cc"} - {lang})
+        own = langid.predict(df.filter((df.lang == lang) & (df.doc_id < 400)), model)
+        assert own.filter("rejected").count() >= 0.95 * own.count()
+
+
+def test_one_language_too_many_labels_and_labels_without_text(spark, labelled, monkeypatch):
     df, _ = labelled
-    odd = spark.createDataFrame([(1, "жук пёс дом вода лес река " * 5)], "doc_id bigint, text string")
-    known = langid.predict(df.filter("doc_id < 100"), langid.fit(df)).agg({"score": "min"}).first()[0]
-    assert langid.predict(odd, langid.fit(df)).first().score < known
+    one = langid.fit(df.filter("lang = 'aa'"))
+    assert one.languages == ["aa"]
+    assert langid.predict(df.filter("lang = 'bb' and doc_id < 400"), one).filter("not rejected").count() == 0
+    extra = spark.createDataFrame([(7000 + i, "12 34", "digits") for i in range(20)], "doc_id bigint, text string, lang string")
+    assert "digits" not in langid.fit(df.unionByName(extra)).languages
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="distinct labels"):
+        langid.fit(df)
 
 
 def test_accepted_keeps_rows_and_columns(spark, labelled):
@@ -84,3 +133,6 @@ def test_nothing_to_learn_from(spark):
     assert langid.fit(none) is None
     assert [(r.lang_pred, r.score) for r in langid.predict(none, None).collect()] == [("und", 0.0)]
     assert langid.predict(none.limit(0), langid.fit(none.limit(0))).count() == 0
+    # without a model nothing tells languages apart: what has letters is kept
+    some = spark.createDataFrame([(1, "words", "x"), (2, "12 !", "y"), (3, None, "z"), (4, "", "w")], "doc_id bigint, text string, rejected string")
+    assert [tuple(r) for r in langid.accepted(some, None).collect()] == [(1, "words", "x")]

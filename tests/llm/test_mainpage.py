@@ -1,5 +1,7 @@
 import itertools
 import random
+import time
+import tracemalloc
 
 import pytest
 
@@ -45,6 +47,52 @@ def test_very_long_page_is_whole():
     assert got == " ".join(f"Sentence number {i} of a very long article." for i in range(20_000))
 
 
+FIRST = "The committee met on Tuesday to discuss the river, the bridge and the road that leads to the old mill, for hours and hours."
+LAST = "On Wednesday it met again, since nobody had agreed on anything the day before, and this time it was the bridge that was left."
+FRAMES = [
+    '<div class="ad">Buy now!</div>', '<span class="ads">Buy now!</span>',
+    '<div class="advertisement"><p>Buy our wonderful product now, it has never been as cheap and as good as it is today.</p></div>',
+    '<section class="comments"><p>I liked this very much, thank you for the story of the mill.</p><p>So did I, and so did my aunt.</p></section>',
+    '<div id="comment-list"><article class="comment"><p>Great story, I read it with joy and sent it on to all of my friends.</p></article></div>',
+    '<div class="notice">We have changed our terms, please read them all with care.</div>',
+    '<div class="cookie-banner"><p>We use cookies to make this site better for you and for others who read it.</p></div>',
+    '<aside><h3>Related</h3><p>Another story that is told elsewhere, with a full sentence.</p></aside>',
+    '<form><p>Sign up here for our letter with news about it all.</p><input><button>Go</button></form>',
+    '<nav><ul><li><a href=x>Home</a></li><li><a href=y>A longer entry of the menu</a></li></ul></nav>',
+    '<footer><p>Copyright by the owners of this site in the year 2026.</p></footer>',
+    '<div class="social-share"><a href=x>Share this on a site</a></div>', '<div style="display: none">Not seen by anyone who reads this page.</div>',
+    '<script>document.write("<p>no</p>")</script>', '<style>p { color: red }</style>', '<!-- <p>no</p> -->', '<dialog>Accept our terms.</dialog>',
+]
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+@pytest.mark.parametrize("around", ["article", "main", "article-in-form", "div-content"])
+def test_frames_between_paragraphs_of_an_article(frame, around):
+    begin, end = {"article": ("<article>", "</article>"), "main": ("<main>", "</main>"),
+                  "article-in-form": ("<form id=all><article>", "</article></form>"),
+                  "div-content": ('<div class="content has-sidebar">', "</div>")}[around]
+    page = f"<body><nav><a>x</a></nav>{begin}<h1>The mill</h1><p>{FIRST}</p>{frame}<p>{LAST}</p>{end}<footer>f</footer></body>"
+    assert m.main_text(page) == f"The mill {FIRST} {LAST}"
+
+
+def test_names_that_only_mention_a_frame_are_none():
+    page = f'<div class="page no-sidebar with-comments"><main><p>{FIRST}</p><p class="intro">{LAST}</p></main></div>'
+    assert m.main_text(page) == f"{FIRST} {LAST}"
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "x", "<article>" + "<p>a</p>" * 4000 + "</p>" * 100_000, "<b>" * 4000 + "</p>" * 100_000,
+    "<div>text here. " * 50_000, "<b>" * 100_000 + "<hr>t" * 100_000, "<ul><li>" * 50_000, "<p><button>" + "<div>" * 100_000,
+    "<span class=ad>" * 50_000 + "x", "<a b='" * 50_000, "<" * 200_000, "<!--" * 50_000])
+def test_hostile_markup_takes_time_and_memory_in_proportion(page):
+    tracemalloc.start()
+    begun = time.perf_counter()
+    m.main_text(page)
+    spent, (_, most) = time.perf_counter() - begun, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert spent < 20 and most < 400 << 20
+
+
 def cost(label, source, sink, links):
     return sum(sink[i] if label[i] else source[i] for i in range(len(label))) + sum(
         c for a, b, c in links if label[a] != label[b])

@@ -4,12 +4,19 @@ A text is the average of the embeddings of its byte n-grams of 2 to 4 (letters l
 all else a space, no n-gram across a space), hashed into ``BUCKETS``.  Embeddings and the
 softmax are trained together by stochastic gradient descent in numpy on a bounded sample:
 about ``SAMPLE_PER_LANGUAGE`` rows a language by hash of the id.  Only the sampled rows'
-n-gram counts, at most ``BUCKETS`` numbers each, reach the driver.  A fifth of the sample
-sets the temperature and the rejection threshold.  At prediction embedding and softmax are
-one table of ``BUCKETS x languages``, so every whole text is counted once.
+n-gram counts, at most ``BUCKETS`` numbers each, reach the driver.  At prediction embedding and
+softmax are one table of ``BUCKETS x languages``, so every whole text is counted once.
+
+A softmax says which known language is likeliest, not whether any is.  So a text is also
+held against its language's n-grams: how far its mean log-probability lies below that language's
+usual one, in standard deviations for a text of its length (``fit``).  A fifth of the sample, never
+trained on, calibrates both: rows of a known language, against rows that are none - each language
+in turn measured by the others, and texts whose letters were shuffled.  A text is rejected if its score or
+its fit is below its threshold, or if it has no letter.
 
 Null texts and texts without a letter are ``und`` with score 0; so is every text if there
-is nothing to learn from.  Rows with a null id are predicted but never learned from.
+is nothing to learn from, and then only those without a letter are rejected.  Rows with a null id
+are predicted but never learned from.  A language none of whose sampled rows has an n-gram is not learned.
 """
 
 from __future__ import annotations
@@ -30,9 +37,16 @@ SAMPLE_PER_LANGUAGE = 300
 DIMENSIONS = 16
 EPOCHS = 12
 RATE = 4.0
-#: Share of right calibration rows whose score may fall below the threshold, and the highest threshold.
+#: Share of right calibration rows that either threshold may cost, and the highest threshold for scores.
 REJECT_RIGHT = 0.002
 MAX_THRESHOLD = 0.6
+#: Where the threshold for the fit lies between the known rows' low end (0) and the unknown rows' high end (1).
+TOWARDS_UNKNOWN = 0.25
+UNKNOWN_SHARE = 0.95
+#: Weight of n-grams never seen in a language, and how many overlapping n-grams count as one observation.
+UNSEEN, OVERLAPPING = 0.02, 6.0
+#: Most languages of one model; more distinct labels are an error.
+MAX_LANGUAGES = 1000
 #: Share of each label spread over all languages, so that scores of separable languages stay short of 1.
 SMOOTHING = 0.02
 UNKNOWN = "und"
@@ -80,26 +94,47 @@ def bag(raw: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages, logits of each bucket, temperature and rejection threshold."""
+    """Languages, logits of each bucket, temperature; each language's n-grams and how its texts usually fit; thresholds."""
 
     languages: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
+    log_share: np.ndarray
+    usual: np.ndarray
+    spread: np.ndarray
+    noise: np.ndarray
+    least_fit: float
 
     def scores(self, bags: np.ndarray) -> np.ndarray:
         total = np.maximum(bags.sum(axis=1, keepdims=True), 1)
         return _softmax((bags @ self.table / total + self.bias) / self.temperature)
 
+    def fits(self, bags: np.ndarray) -> np.ndarray:
+        """Per text and language: how usual the text's n-grams are, in standard deviations; below zero is less."""
+        total = np.maximum(bags.sum(axis=1, keepdims=True), 1)
+        return (bags @ self.log_share / total - self.usual) / np.sqrt(self.spread + self.noise / total)
+
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     x = np.exp(x - x.max(axis=1, keepdims=True))
     return x / x.sum(axis=1, keepdims=True)
 
 
-def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Fits on four fifths of the rows, then temperature and threshold on the rest."""
+def _dense(sparse: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    bags = np.zeros((len(sparse), BUCKETS), np.float32)
+    for i, (buckets, counts) in enumerate(sparse):
+        bags[i, buckets] = counts
+    return bags
+
+
+def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]],
+          shuffled: list[tuple[np.ndarray, np.ndarray]]) -> Model:
+    """Fits on four fifths of the rows, then temperature and thresholds on the rest.
+
+    ``shuffled`` are the n-grams of the same rows, their letters in random order.
+    """
     rng = np.random.default_rng(20_261)
     order = rng.permutation(len(labels))
     held = order[: len(labels) // 5]
@@ -111,8 +146,6 @@ def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarra
         rate = RATE * (1 - epoch / EPOCHS)
         for row in rng.permutation(rows):
             buckets, counts = sparse[row]
-            if not len(buckets):
-                continue
             share = counts / counts.sum()
             mean = share @ embed[buckets]
             gap = _softmax((mean @ weight + bias)[None])[0]
@@ -122,25 +155,49 @@ def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarra
             weight -= rate * 0.1 * np.outer(mean, gap)
             bias -= rate * 0.01 * gap
             embed[buckets] -= rate * share[:, None] * back
-    model = Model(languages, (embed @ weight).astype(np.float32), bias.astype(np.float32), 1.0, 0.0)
+    shares = np.zeros((BUCKETS, len(languages)))
+    for row in rows:
+        buckets, counts = sparse[row]
+        shares[buckets, labels[row]] += counts / counts.sum()
+    shares = shares / np.maximum(shares.sum(axis=0), 1e-12) * (1 - UNSEEN) + UNSEEN / BUCKETS
+    log_share = np.log(shares)
+    noise = OVERLAPPING * ((shares * log_share ** 2).sum(axis=0) - (shares * log_share).sum(axis=0) ** 2)
+    model = Model(languages, (embed @ weight).astype(np.float32), bias.astype(np.float32), 1.0, 0.0, log_share.astype(np.float32),
+                  (shares * log_share).sum(axis=0), np.ones(len(languages)), noise, -np.inf)
     if len(held):
-        bags = np.zeros((len(held), BUCKETS), np.float32)
-        for i, row in enumerate(held):
-            bags[i, sparse[row][0]] = sparse[row][1]
-        truth = labels[held]
-
-        def loss(temperature: float) -> float:
-            model.temperature = temperature
-            return -np.log(np.maximum(model.scores(bags)[np.arange(len(held)), truth], 1e-12)).sum()
-
-        model.temperature = min((2.0 ** k for k in np.arange(0, 3.01, 0.25)), key=loss)
-        found = model.scores(bags)
-        right = found.max(axis=1)[found.argmax(axis=1) == truth]
-        if len(right):
-            model.threshold = float(min(MAX_THRESHOLD, np.quantile(right, REJECT_RIGHT) / 2))
+        _calibrate(model, _dense([sparse[i] for i in held]), labels[held], _dense([shuffled[i] for i in held]))
     return model
 
 
+def _calibrate(model: Model, bags: np.ndarray, truth: np.ndarray, shuffled: np.ndarray) -> None:
+    """Sets temperature, how texts usually fit, and both thresholds from rows that were not trained on."""
+    def loss(temperature: float) -> float:
+        model.temperature = temperature
+        return -np.log(np.maximum(model.scores(bags)[np.arange(len(bags)), truth], 1e-12)).sum()
+
+    model.temperature = min((2.0 ** k for k in np.arange(0, 3.01, 0.25)), key=loss)
+    mean_log = bags @ model.log_share / np.maximum(bags.sum(axis=1, keepdims=True), 1)
+    for k in range(len(model.languages)):
+        own = mean_log[truth == k, k]
+        if len(own) > 1:
+            # the middle and the middle two thirds: a few rows in another language do not widen them
+            low, model.usual[k], high = np.quantile(own, (1 / 6, 0.5, 5 / 6))
+            model.spread[k] = max((high - low) / 2, 1e-3) ** 2
+    scores, fits = model.scores(bags), model.fits(bags)
+    right = scores.argmax(axis=1) == truth
+    if not right.any():
+        return
+    model.threshold = float(min(MAX_THRESHOLD, np.quantile(scores[right].max(axis=1), REJECT_RIGHT)))
+    known = np.quantile(fits[right, truth[right]], REJECT_RIGHT)
+    strange = [model.fits(shuffled)[np.arange(len(bags)), model.scores(shuffled).argmax(axis=1)]]
+    if len(model.languages) > 1:  # each row as the likeliest of the languages that are not its own
+        other = scores.copy()
+        other[np.arange(len(bags)), truth] = -1
+        strange.append(fits[np.arange(len(bags)), other.argmax(axis=1)])
+    unknown = np.quantile(np.concatenate(strange), UNKNOWN_SHARE)
+    model.least_fit = float(known - TOWARDS_UNKNOWN * max(0.0, known - unknown))
+
+
 def learnable(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_column}`").cast("string").cast("binary")) % FOLDS != HELD_OUT, F.lit(False))
 
@@ -150,32 +207,45 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str
     """A model of the languages named in ``lang``; None if no row can be learned from."""
     rows = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"),
                      F.col(f"`{lang}`").alias("lang")).filter(learnable("id") & F.col("lang").isNotNull())
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} distinct labels in {lang}: that is no column of languages")
+    counts = {r.lang: r.n for r in found}
     if not counts:
         return None
-    languages = sorted(counts)
     # about ``sample`` rows of each language, by hash of the id; then at most twice as many in all
-    wanted = F.create_map(*(F.lit(x) for name in languages for x in (name, sample / counts[name])))
+    wanted = F.create_map(*(F.lit(x) for name in sorted(counts) for x in (name, sample / counts[name])))
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.filter((share < wanted[F.col("lang")]) & F.col("text").isNotNull()).limit(
-        2 * sample * len(languages))
+    chosen = rows.filter((share < wanted[F.col("lang")]) & F.col("text").isNotNull()).limit(2 * sample * len(counts))
 
     def step(texts: pa.Array) -> list:
-        data, starts = flat_texts(texts)
-        buckets, numbers = [], []
-        for a, b in zip(starts[:-1], starts[1:]):
-            counted = bag(data[a:b])
-            used = np.flatnonzero(counted)
-            buckets.append(used.astype(np.int32))
-            numbers.append(counted[used].astype(np.int32))
-        return [buckets, numbers]
-
-    got = map_texts(chosen, ["id", "lang"], "text", [("buckets", "array<int>"), ("counts", "array<int>")], step).collect()
+        columns = [[] for _ in GRAMS]
+        for text in texts.to_pylist():
+            for k, raw in enumerate((text.encode(), _shuffled(text).encode())):
+                counted = bag(np.frombuffer(raw, np.uint8))
+                used = np.flatnonzero(counted)
+                columns[2 * k].append(used.astype(np.int32))
+                columns[2 * k + 1].append(counted[used].astype(np.int32))
+        return columns
+
+    got = map_texts(chosen, ["id", "lang"], "text", GRAMS, step).collect()
     got = sorted((r for r in got if r.buckets), key=lambda r: (r.lang, r.id, r.buckets))
     if not got:
         return None
+    languages = sorted({r.lang for r in got})
     return train(languages, np.array([languages.index(r.lang) for r in got]),
-                 [(np.array(r.buckets), np.array(r.counts, float)) for r in got])
+                 [(np.array(r.buckets), np.array(r.counts, float)) for r in got],
+                 [(np.array(r.other_buckets, int), np.array(r.other_counts, float)) for r in got])
+
+
+GRAMS = [("buckets", "array<int>"), ("counts", "array<int>"), ("other_buckets", "array<int>"), ("other_counts", "array<int>")]
+
+
+def _shuffled(text: str) -> str:
+    """The same letters in random order, spaces where they were."""
+    letters = [c for c in text if not c.isspace()]
+    mixed = iter(np.random.default_rng(len(text)).permutation(len(letters)).tolist())
+    return "".join(c if c.isspace() else letters[next(mixed)] for c in text)
 
 
 def _step(model: Model | None):
@@ -183,14 +253,16 @@ def _step(model: Model | None):
         size = len(texts)
         named = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
         if model is None:
-            return [[UNKNOWN] * size, np.zeros(size), np.ones(size, bool)]
+            return [[UNKNOWN] * size, np.zeros(size), ~named]
         data, starts = flat_texts(texts)
-        scores = np.zeros((size, len(model.languages)))
+        best, score, fit = np.zeros(size, int), np.zeros(size), np.full(size, -np.inf)
         for row in np.flatnonzero(named):
-            scores[row] = model.scores(bag(data[starts[row]:starts[row + 1]])[None])[0]
-        best, score = scores.argmax(axis=1), scores.max(axis=1)
+            counted = bag(data[starts[row]:starts[row + 1]])[None]
+            scores = model.scores(counted)[0]
+            best[row] = scores.argmax()
+            score[row], fit[row] = scores[best[row]], model.fits(counted)[0, best[row]]
         names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, named)]
-        return [names, score, ~named | (score < model.threshold)]
+        return [names, score, ~named | (score < model.threshold) | (fit < model.least_fit)]
 
     return step
 

@@ -7,6 +7,14 @@ blocks under one parent, are joined by smoothness edges, weaker the further apar
 in the tree.  The minimum cut labels all blocks of a page together: a short paragraph inside
 an article stays, a lone line between menus goes.
 
+Of what stands above a block the nearest says most.  A menu, advert, notice, comment section or form
+begins a frame: what made the surroundings content no longer counts in it, and no edge joins it
+to what lies outside.  ``main`` begins content again, whatever it stands in, and so does an
+``article`` in a form, which some sites put around the whole page.
+
+Work and memory grow with the page and not with its depth: elements know their parent, and the innermost
+open element of a name is looked up, not searched for.
+
 Scripts, styles, forms, comments and markup are never text.  Character references are decoded,
 white space within a block becomes one space, blocks are joined by one.  Nothing else is
 dropped and nothing is capped; a null or empty page, or one without content, has empty text.
@@ -36,6 +44,7 @@ BLOCK = frozenset(
 CLOSES_P = BLOCK - frozenset("option td th tr tbody thead tfoot caption body html title summary".split())
 SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",)}
+P_FENCES = ("article", "section", "div", "td", "th", "li", "table", "button")
 SCOPE = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("tr", "table"),
          "th": ("tr", "table"), "option": ("select",)}
 
@@ -51,6 +60,8 @@ FRAME_NAMES = re.compile(
     r"comments?|comment-\w+|respon[ds]e?s?|disqus|reply|replies|related\w*|recommend\w*|breadcrumbs?|pagination|pager|widget\w*|"
     r"login|signup|search\w*|toolbar|copyright|legal|disclaimer|tags?-?list|form)(?:$|[^a-z])")
 CONTENT_NAMES = re.compile(r"(?:^|[^a-z])(?:article\w*|content|main|post|post-body|entry\w*|story\w*|text|body)(?:$|[^a-z])")
+#: Names that only say what else a page has.
+MODIFIERS = re.compile(r"(?:^|(?<=[^a-z]))(?:has|with|without|no|show|hide|is)-[\w-]+")
 #: Capacity of an edge between neighbours under one parent, and how it falls per step apart in the tree.
 SMOOTH, FALL = 1.2, 0.5
 #: Edge between successive blocks of one parent that are not neighbours in the page.
@@ -62,13 +73,18 @@ NAMES = re.compile(r"""(?:^|[\s"'])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)
 HIDDEN = re.compile(r"""(?:^|[\s"'])(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Node:
-    """An open element: tag, what it and those above it say, its parent's number."""
+    """An open element: its tag, the block-level element it lies in (or is), and what it and those above it say.
+
+    ``frame_at`` is the innermost frame's element, ``depth`` counts block-level elements above.
+    """
 
     tag: str
-    number: int
-    path: tuple[int, ...]
+    above: "Node | None"
+    block: "Node | None" = None
+    frame_at: "Node | None" = None
+    depth: int = 0
     content: bool = False
     frame: bool = False
     content_name: bool = False
@@ -86,51 +102,75 @@ class Block:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-def _child(parent: Node, tag: str, attributes: str, number: int) -> Node:
+def _child(parent: Node, tag: str, attributes: str) -> Node:
     names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)).lower() if "=" in attributes else ""
+    names = MODIFIERS.sub(" ", names)
     inside = parent.content or parent.content_name
     # headers and the like within an article belong to it; what they name otherwise does not
-    frame = tag in FRAME and not (tag == "header" and inside)
-    return Node(tag, number, (*parent.path, number) if tag in BLOCK else parent.path,
-                parent.content or tag in CONTENT, parent.frame or frame or bool(names and HIDDEN.search(attributes)),
-                parent.content_name or bool(names and CONTENT_NAMES.search(names)),
-                parent.frame_name or bool(names and FRAME_NAMES.search(names) and tag not in ("body", "html", "article", "main")),
-                parent.link or tag == "a")
+    element = (tag in FRAME and not (tag == "header" and inside)) or bool(attributes and HIDDEN.search(attributes))
+    named = bool(names and FRAME_NAMES.search(names) and tag not in ("body", "html", "article", "main"))
+    node = Node(tag, parent.block, None, parent.frame_at, parent.block.depth, parent.content, parent.frame, parent.content_name,
+                parent.frame_name, parent.link or tag == "a")
+    if element or named:
+        node.frame_at, node.content, node.content_name = node, False, False
+        node.frame, node.frame_name = parent.frame or element, parent.frame_name or named
+    elif tag == "main" or (tag == "article" and (parent.frame_at is None or parent.frame_at.tag == "form")):
+        node.frame_at, node.content, node.frame, node.frame_name = None, True, False, False
+    elif names and node.frame_at is None and CONTENT_NAMES.search(names):
+        node.content_name = True
+    if tag in BLOCK:
+        node.block, node.depth = node, node.depth + 1
+    else:
+        node.block = parent.block
+    return node
+
+
+class _Open:
+    """The open elements, and for each name where they stand."""
+
+    def __init__(self):
+        root = Node("", None)
+        root.block = root
+        self.stack, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def innermost(self, tags, stop=()) -> int:
+        """Where the innermost element of these names stands, 0 if there is none or one of ``stop`` lies further in."""
+        at = max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+        return at if at > max((self.places[t][-1] for t in stop if self.places.get(t)), default=0) else 0
+
+    def close(self, at: int) -> bool:
+        """Closes elements from place ``at``; whether one of them was block-level."""
+        blocks = False
+        for node in self.stack[at:]:
+            self.places[node.tag].pop()
+            blocks = blocks or node.tag in BLOCK
+        del self.stack[at:]
+        return blocks
 
 
 def blocks(page: str) -> list[Block]:
     """Runs of text between block-level tags, in page order."""
-    root = Node("", 0, (0,))
-    stack, out = [root], []
-    open_: Block | None = None
-    number = at = 0
+    open_, out = _Open(), []
+    current: Block | None = None
+    at = 0
 
     def say(raw: str) -> None:
-        nonlocal open_
+        nonlocal current
         if not raw:
             return
-        if open_ is None:
+        inner = open_.stack[-1]
+        if current is None:
             if raw.isspace():
                 return
-            open_ = Block(next(n for n in reversed(stack) if n.tag in BLOCK or n is root))
-            out.append(open_)
-        open_.parts.append(raw)
-        if stack[-1].link:
-            open_.linked += len(raw.strip())
-
-    def close(index: int) -> None:
-        nonlocal open_
-        if any(n.tag in BLOCK for n in stack[index:]):
-            open_ = None
-        del stack[index:]
-
-    def find(tags, stop=()) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                return i
-            if stack[i].tag in stop:
-                return 0
-        return 0
+            current = Block(inner.block)
+            out.append(current)
+        current.parts.append(raw)
+        if inner.link:
+            current.linked += len(raw.strip())
 
     while True:
         m = TOKEN.search(page, at)
@@ -142,11 +182,9 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            found = find((tag,))
-            if found:
-                close(found)
-            elif tag in BLOCK:
-                open_ = None
+            found = open_.innermost((tag,))
+            if (open_.close(found) if found else tag in BLOCK):
+                current = None
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -157,19 +195,19 @@ def blocks(page: str) -> list[Block]:
             say(" ")
             continue
         if tag in BLOCK:
-            open_ = None
+            current = None
         if tag in VOID:
             continue
-        if tag in CLOSES_P:
-            found = find(("p",), ("article", "section", "div", "td", "th", "li", "table", "button"))
-            if found:
-                close(found)
-        if tag in SAME:
-            found = find(SAME[tag], SCOPE[tag])
-            if found:
-                close(found)
-        number += 1
-        stack.append(_child(stack[-1], tag, m[3], number))
+        for ended, stop in (((("p",), P_FENCES),) if tag in CLOSES_P else ()) + (((SAME[tag], SCOPE[tag]),) if tag in SAME else ()):
+            found = open_.innermost(ended, stop)
+            if found and open_.close(found):
+                current = None
+        inner = _child(open_.stack[-1], tag, m[3])
+        if inner.frame_at is not open_.stack[-1].frame_at:
+            current = None  # a frame's text is its own, also where the frame is no block
+            if inner.frame_at is inner and tag not in BLOCK:
+                inner.block, inner.depth = inner, inner.depth + 1
+        open_.push(inner)
     say(page[at:])
     return [b for b in out if b.text()]
 
@@ -189,19 +227,32 @@ def log_odds(block: Block, text: str) -> float:
     return score + w["sentence"] * (text[-1:] in ".!?…:\"”»")
 
 
+def _apart(a: Node, b: Node) -> int:
+    """Steps between two block-level elements: the longer way up to the element that holds both."""
+    x, y = a, b
+    while x.depth > y.depth:
+        x = x.above
+    while y.depth > x.depth:
+        y = y.above
+    while x is not y:
+        x, y = x.above, y.above
+    return max(a.depth, b.depth) - x.depth
+
+
 def edges(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Smoothness: successive blocks, by their distance in the tree; then successive ones of one parent."""
-    out, last = [], {}
+    """Smoothness: successive blocks, by their distance in the tree; then successive ones of one parent.
+
+    None leads from a frame to what lies outside of it.
+    """
+    out: list[tuple[int, int, float]] = []
+    last: dict[int, int] = {}
     for i, b in enumerate(found):
-        path = b.node.path
-        parent = path[:-1]
-        if i:
-            before = found[i - 1].node.path
-            common = next((k for k, (x, y) in enumerate(zip(before, path)) if x != y), min(len(before), len(path)))
-            apart = max(len(before), len(path)) - common
-            out.append((i - 1, i, SMOOTH * FALL ** max(0, apart - 1)))
-        if parent in last and last[parent] < i - 1:
-            out.append((last[parent], i, PROXIMITY))
+        if i and found[i - 1].node.frame_at is b.node.frame_at:
+            out.append((i - 1, i, SMOOTH * FALL ** max(0, min(64, _apart(found[i - 1].node, b.node) - 1))))
+        parent = id(b.node.above)
+        before = last.get(parent, i)
+        if before < i - 1 and found[before].node.frame_at is b.node.frame_at:
+            out.append((before, i, PROXIMITY))
         last[parent] = i
     return out
 

@@ -6,17 +6,22 @@ nearest vectors of the shard and a few random ones, thinned by robust pruning, w
 edges back.  The adjacency lists of all shards a vector lies in are united.  Then each shard
 is searched from its medoid for all its vectors: a greedy beam first, and wherever vectors in
 range turn up, each of them is expanded in turn until no new one is found, so a beam full of
-links ends no search.  Links are verified in double precision, and an audit compares a
-bounded sample of vectors with all vectors in blocks; if too few links were found, overlap
-and beam are widened and the search is done again.
+links ends no search.  Links are verified in double precision.
+
+An audit compares a bounded sample of vectors with all vectors in blocks, and goes on sampling
+until enough vectors with links were seen.  Recall is the mean, over those, of the share of their links
+that were found, so a dense group cannot hide lost pairs.  If it is too low, overlap and beam are
+widened and the search is done again; if that does not help, every block is compared with every
+other, which loses nothing.
 
 No pair of vectors leaves a task: links are counted where they are found, in the first shard
-that both vectors share, and tasks return a spanning forest.  Equal vectors are one node with
-a weight.  A shard over ``SHARD_LIMIT`` is dealt into blocks, and each block of vectors is
-looked for in the graph of each block, so no task holds more than two.
+that both vectors share, and tasks return a spanning forest.  Pairs within a task are counted in
+portions.  Equal vectors are one node with a weight.  A shard over ``SHARD_LIMIT`` is dealt into
+blocks, and each block of vectors is looked for in the graph of each block, so no task holds more than two.
 
-Vectors that are null, empty or zero, hold nulls or non-finite numbers, or differ in length
-from most, link with nothing and are kept.  Repeated rows count as vectors each.  A row
+Only vectors of one length can link.  Lengths with few vectors are compared within one task each, the
+others are searched one by one.  Vectors that are null, empty or zero, or hold nulls or non-finite
+numbers, link with nothing and are kept.  Repeated rows count as vectors each.  A row
 without an id takes part; a component without any id has none.
 """
 
@@ -46,13 +51,17 @@ ALPHA = 1.2
 BEAM = 48
 #: Lines drawn through each shard and pivots that order them.
 CHAINS, PIVOTS = 2, 32
-#: Vectors that the audit checks against all, about; share of links it must find again; attempts.
-AUDIT = 256
+#: Vectors that the audit checks against all, about: more and more until it has seen enough with links.
+AUDIT = (256, 2048, 8192)
+AUDIT_LINKED = 64
+#: Mean share of a vector's links that must be found again; attempts before all blocks are compared.
 MIN_RECALL = 0.97
 ATTEMPTS = 3
 #: Single precision may be off by so much; what is within is verified.
 SLACK = 1e-4
 AT_ONCE = 1 << 18
+#: Pairs that a search may hold at most: vectors asked at once times vectors of the graph.
+CELLS = 8 << 20
 
 
 # --- in one task ---------------------------------------------------------------
@@ -263,24 +272,62 @@ def _searched(beam: int, least: float):
         graph = np.full((len(member), max(1, int(sizes.max(initial=0)))), -1, np.int64)
         graph[source[inside], place[inside]] = spot[inside]
         links, forest = np.zeros(len(node), np.int64), Forest(len(node))
-        step = max(256, (64 << 20) // len(member))
+        step = max(64, CELLS // len(member))
         for i in range(0, len(asks), step):
             part = asks[i:i + step]
-            a, b = search(vectors[member], graph, vectors[part], beam, least)
-            a, b = part[a], member[b]
-            a, b = a[a != b], b[a != b]
-            forest.join(a, b)
-            # a pair counts in the first shard that both are filed under
-            common = (shards[a][:, :, None] == shards[b][:, None, :]).any(axis=2)
-            first = np.where(common, shards[a], np.iinfo(np.int64).max).min(axis=1)
-            counts = first == shard
-            np.add.at(links, a[counts], weight[b[counts]])
-        out = np.flatnonzero((links > 0) | (forest.root != np.arange(len(node))))
-        return pa.table({"node": node[out], "links": links[out], "root": node[forest.root[out]]})
+            hit_a, hit_b = search(vectors[member], graph, vectors[part], beam, least)
+            for j in range(0, len(hit_a), AT_ONCE):
+                a, b = part[hit_a[j:j + AT_ONCE]], member[hit_b[j:j + AT_ONCE]]
+                a, b = a[a != b], b[a != b]
+                forest.join(a, b)
+                # a pair counts in the first shard that both are filed under
+                common = (shards[a][:, :, None] == shards[b][:, None, :]).any(axis=2)
+                first = np.where(common, shards[a], np.iinfo(np.int64).max).min(axis=1)
+                counts = first == shard
+                np.add.at(links, a[counts], weight[b[counts]])
+        return _linked(node, links, forest)
+
+    return run
+
+
+def _linked(node: np.ndarray, links: np.ndarray, forest: Forest) -> pa.Table:
+    out = np.flatnonzero((links > 0) | (forest.root != np.arange(len(node))))
+    return pa.table({"node": node[out], "links": links[out], "root": node[forest.root[out]]})
+
+
+def _compared(least: float):
+    """Every vector of one block with every vector of another, or with those after it in its own."""
+    def run(group: pa.Table) -> pa.Table:
+        node, weight = group["node"].to_numpy(), group["weight"].to_numpy()
+        x, block = unit(_matrix(group["vector"])), group["block"].to_numpy()
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        rows, columns = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        links, forest = np.zeros(len(node), np.int64), Forest(len(node))
+        for at in range(0, len(rows), 256):
+            part = rows[at:at + 256]
+            a, b = np.nonzero(x[part] @ x[columns].T >= least)
+            a, b = part[a], columns[b]
+            good = a < b if i == j else a >= 0
+            a, b = a[good], b[good]
+            np.add.at(links, a, weight[b])
+            np.add.at(links, b, weight[a])
+            for k in range(0, len(a), AT_ONCE):
+                forest.join(a[k:k + AT_ONCE], b[k:k + AT_ONCE])
+        return _linked(node, links, forest)
 
     return run
 
 
+def _all_blocks(nodes: DataFrame, blocks: int, least: float) -> DataFrame:
+    """All links, by comparing blocks of about ``SHARD_ROWS`` vectors of a length, each with itself and those after it."""
+    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
+    others = F.sequence(F.lit(0), F.lit(blocks - 1))
+    met = F.transform(others, lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
+    rows = nodes.select("node", "vector", "weight", "size", block.alias("block"))
+    rows = rows.select("*", F.explode(met).alias("at")).select("node", "vector", "weight", "size", "block", "at.*")
+    return stored(rows.groupBy("size", "i", "j").applyInArrow(_compared(least), "node bigint, links bigint, root bigint"), "found")
+
+
 def _audited(nodes: DataFrame, sample, least: float) -> DataFrame:
     """Links of the sampled nodes, counted against all nodes in blocks."""
     names = np.array([r.node for r in sample], np.int64)
@@ -320,39 +367,56 @@ def _found(nodes: DataFrame, centres: np.ndarray, overlap: int, beam: int, least
         _searched(beam, least), "node bigint, links bigint, root bigint"), "found")
 
 
+def _recall(nodes: DataFrame, found: DataFrame, truth: DataFrame) -> tuple[float, int]:
+    """Mean share of their links that audited vectors with links got, and how many these are."""
+    mine = found.groupBy("node").agg(F.sum("links").alias("links"))
+    share = F.coalesce("links", F.lit(0)) / F.col("true_links")
+    row = truth.filter("true_links > 0").join(mine, "node", "left").agg(F.avg(share), F.count("*")).first()
+    return (1.0 if row[0] is None else float(row[0])), row[1]
+
+
+def _search_length(nodes: DataFrame, n: int, least: float, overlap: int, beam: int) -> tuple[DataFrame, float]:
+    """Links among ``n`` vectors of one length, and the recall that the audit measured."""
+    def some(size: int) -> DataFrame:
+        return nodes.filter(F.pmod(F.xxhash64("h2", F.lit(size)), F.lit(n)) < size)
+
+    sample = [r.vector for r in some(SAMPLE).select("vector").limit(2 * SAMPLE).collect()]
+    k = min(MAX_CENTRES, -(-n * overlap // SHARD_ROWS))
+    centres = fit_centres(unit(np.array(sample)), k) if k > 1 and sample else None
+    truth = None
+    for size in AUDIT:
+        asked = some(size).select("node", "vector").limit(2 * size).collect()
+        truth = stored(_audited(nodes, asked, least), "audit") if asked else None
+        if size >= n or (truth is not None and truth.filter("true_links > 0").count() >= AUDIT_LINKED):
+            break
+    for _ in range(ATTEMPTS):
+        if centres is None:
+            break
+        found = _found(nodes, centres, overlap, beam, least)
+        recall = _recall(nodes, found, truth)[0] if truth is not None else 1.0
+        if recall >= MIN_RECALL:
+            return found, recall
+        overlap, beam = overlap + 2, beam * 2
+    return _all_blocks(nodes, max(1, -(-n // SHARD_ROWS)), least), 1.0
+
+
 def near_duplicates(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", least: float = MIN_COSINE,
                     overlap: int = OVERLAP, beam: int = BEAM) -> DataFrame:
     """Per row: id, n_links, component_id, kept, and the recall that the audit measured."""
     source = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
-    usual = source.filter(_valid(F.col("vector"))).groupBy(F.size("vector").alias("size")).count().orderBy(
-        F.desc("count"), F.desc("size")).first()
-    fits = F.coalesce(_valid(F.col("vector")) & (F.size("vector") == (usual.size if usual else 0)), F.lit(False))
-    keys = [F.when(fits, F.xxhash64(F.lit(k), "vector")).alias(f"h{k}") for k in (1, 2)]  # 128 bits
+    fits = _valid(F.col("vector"))
+    keys = [F.when(fits, F.xxhash64(F.lit(k), F.size("vector"), "vector")).alias(f"h{k}") for k in (1, 2)]  # 128 bits
     keyed = stored(source.select("id", F.when(fits, F.col("vector")).alias("vector"), *keys), "vectors")
     nodes = keyed.filter("vector is not null").groupBy("h1", "h2").agg(
         F.first("vector").alias("vector"), F.count("*").alias("weight"), F.min("id").alias("least"))
-    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    n = nodes.count()
-    recall, found = 1.0, None
-    if n:
-        some = lambda size: nodes.filter(F.pmod(F.xxhash64("h2", F.lit(size)), F.lit(n)) < size)
-        sample = [r.vector for r in some(SAMPLE).select("vector").limit(2 * SAMPLE).collect()]
-        asked = some(AUDIT).select("node", "vector").limit(2 * AUDIT).collect()
-        truth = stored(_audited(nodes, asked, least), "audit") if asked else None
-        for attempt in range(ATTEMPTS):
-            k = min(MAX_CENTRES, -(-n * overlap // SHARD_ROWS))
-            centres = fit_centres(unit(np.array(sample)), k) if k > 1 and sample else unit(np.ones((1, usual.size)))
-            found = _found(nodes, centres, overlap, beam, least)
-            if truth is None:
-                break
-            mine = found.groupBy("node").agg(F.sum("links").alias("links"))
-            sums = truth.join(mine, "node", "left").agg(F.sum("links"), F.sum("true_links")).first()
-            recall = 1.0 if not sums[1] else (sums[0] or 0) / sums[1]
-            if recall >= MIN_RECALL:
-                break
-            overlap, beam = overlap + 2, beam * 2
-    else:
-        found = df.sparkSession.createDataFrame([], "node bigint, links bigint, root bigint")
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("size", F.size("vector")), "nodes")
+    # lengths beyond a shard's rows are few, as each takes that many vectors; all others are one job
+    large = nodes.groupBy("size").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD_ROWS).collect()
+    small = nodes.filter(~F.col("size").isin([r.size for r in large])) if large else nodes
+    found, recall = _all_blocks(small, 1, least), 1.0
+    for r in sorted(large):
+        more, measured = _search_length(nodes.filter(F.col("size") == r.size), r.n, least, overlap, beam)
+        found, recall = found.unionByName(more), min(recall, measured)
     joined = components(found.select("node", "root"), "node", "root")
     links = found.groupBy(F.col("node").alias("linked")).agg(F.sum("links").alias("links"))
     named = nodes.select("node", "h1", "h2", "weight", "least").join(joined, "node", "left").withColumn(
