@@ -200,6 +200,14 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, beam: int, lea
         ids[rows] = np.take_along_axis(np.concatenate([ids[rows], more_ids], axis=1), keep, axis=1)
         done[rows] = np.take_along_axis(np.concatenate([done[rows], np.isneginf(more_near)], axis=1), keep, axis=1)
     while True:
+        # with so many in range, comparing with all the graph's vectors costs less than expanding each
+        many = np.flatnonzero(waiting.sum(axis=1) * graph.shape[1] > n)
+        for i in range(0, len(many), 256):
+            part = many[i:i + 256]
+            a, b = np.nonzero((q32[part] @ x32.T >= least - SLACK) & ~seen[part])
+            hits_q.append(part[a])
+            hits_x.append(b)
+        seen[many], waiting[many] = True, False
         rows, nodes = np.nonzero(waiting)
         if not len(rows):
             break
