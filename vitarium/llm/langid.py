@@ -228,14 +228,18 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str
                 columns[2 * k + 1].append(counted[used].astype(np.int32))
         return columns
 
-    got = map_texts(chosen, ["id", "lang"], "text", GRAMS, step).collect()
-    got = sorted((r for r in got if r.buckets), key=lambda r: (r.lang, r.id, r.buckets))
-    if not got:
+    got = map_texts(chosen.select(F.xxhash64("id", "text").alias("order"), "lang", "text"), ["lang", "order"], "text", GRAMS, step).toArrow()
+    got = got.filter(pc.greater(pc.list_value_length(got["buckets"]), 0)).sort_by([("lang", "ascending"), ("order", "ascending")])
+    if not len(got):
         return None
-    languages = sorted({r.lang for r in got})
-    return train(languages, np.array([languages.index(r.lang) for r in got]),
-                 [(np.array(r.buckets), np.array(r.counts, float)) for r in got],
-                 [(np.array(r.other_buckets, int), np.array(r.other_counts, float)) for r in got])
+    names = got["lang"].to_pylist()
+    languages = sorted(set(names))
+
+    def bags(buckets: str, counts: str) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(np.asarray(b.values), np.asarray(n.values).astype(float)) for b, n in zip(got[buckets], got[counts])]
+
+    return train(languages, np.array([languages.index(name) for name in names]), bags("buckets", "counts"),
+                 bags("other_buckets", "other_counts"))
 
 
 GRAMS = [("buckets", "array<int>"), ("counts", "array<int>"), ("other_buckets", "array<int>"), ("other_counts", "array<int>")]
