@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence; learned from these documents' labels."""
+    """Documents whose language is one of those that these documents' labels teach; without any label, all with a letter."""
     return langid.accepted(docs, langid.fit(docs))
 
 
@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: The last stages hash, learn and encode; the tests hold each stage against a plain version.
+#: The last stages hash, learn and encode; tests/llm/test_pipeline.py holds each stage and the run against plain versions.
 ORACLE_SQL = None
 
 
