@@ -1,4 +1,5 @@
 import datetime
+import random
 import unicodedata
 
 import pytest
@@ -85,6 +86,31 @@ def test_resolve_url(base, href, wanted):
     assert urls.resolve_url(base, href) == wanted
 
 
+PIECES = ["http:", "https:", "HTTPS:", "mailto:", "ftp:", "//", "/", "///", "\\", "h.test", "A.B", "user:p@ss@", "u@", ":80", ":443", ":0080",
+          ":99999", ":x", "[::1]", "]", "..", ".", "%2e", "%2E%2e", "a", "b c", "ł", "日", "?", "q=1", "#", "frag", "'", '"', "<", ">", "`", "{",
+          "|", "^", "%zz", "\t", "\n", " ", "x:y", "@", ";", "&"]
+BASES = ["https://Site.test/a/b/c?x=1#f", "http://h:80", "https://u:p w@h.test:8443/x/../y/", "ftp://f/", "mailto:x", "", None,
+         "https://h.test?q", "https:///x", "http://[::1]:8080/a", "https://h.test/a/./b/../c/d%2e"]
+
+
+def test_absolute_url_in_spark_equals_the_step_by_step_one(spark):
+    rng = random.Random(6)
+
+    def made(n):
+        return "".join(rng.choice(PIECES) for _ in range(rng.randint(0, n)))
+
+    rows = [(rng.choice(BASES) if rng.random() < 0.8 else made(6), made(7) if rng.random() < 0.97 else None) for _ in range(6000)]
+    df = spark.createDataFrame(rows, "base string, href string").select("base", "href", urls.absolute_url("base", "href").alias("url"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    for r in df.collect():
+        wanted = urls.resolve_url(r.base, r.href)
+        assert r.url == (None if "xn--" in (wanted or "") else wanted), (r.base, r.href)
+    hosts = spark.createDataFrame([("https://ż.test/", "/ą"), ("https://a.test/", "ü b")], "base string, href string")
+    got = hosts.select(urls.absolute_url("base", "href"), urls.absolute_url("base", "href", unicode_hosts=True)).collect()
+    assert [tuple(r) for r in got] == [(None, urls.resolve_url("https://ż.test/", "/ą")), ("https://a.test/%C3%BC%20b",) * 2]
+    assert got[0][1].startswith("https://xn--")
+
+
 def test_index_urls(spark):
     initials = spark.createDataFrame([("A",), ("Ł",)], "initial string")
     base = "https://site.test/Search/Type,Biography/Initial,A/"

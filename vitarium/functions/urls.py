@@ -45,12 +45,17 @@ def _dotless(path: str) -> str:
 
 def _host(scheme: str, netloc: str) -> str:
     user, _, place = netloc.rpartition("@")
-    host, _, port = place.partition(":") if not place.startswith("[") else (
-        place[: place.index("]") + 1], "", place[place.index("]") + 2 :])
+    if place.startswith("["):
+        end = place.index("]") + 1
+        host, (before, _, port) = place[:end], place[end:].partition(":")
+        if before:
+            raise ValueError("no usable host")
+    else:
+        host, _, port = place.partition(":")
     if not host.isascii():
         host = host.encode("idna").decode("ascii")
     host = host.lower()
-    if not host or re.search(r"[\s#%/:<>?@\\^|]", host.strip("[]") if host[0] != "[" else ""):
+    if not host or (host[0] != "[" and re.search(r"[\s#%/:<>?@\\^|\[\]]", host)):
         raise ValueError("no usable host")
     if port and not (port.isdigit() and int(port) < 65536):
         raise ValueError("bad port")
@@ -112,12 +117,113 @@ def _assemble(origin: str, path: str, query_mark: str, query: str, hash_mark: st
     )
 
 
+# --- the same as Spark expressions ---------------------------------------------
+_HREF = r"(?s)^([^?#]*)(?:(\?)([^#]*))?(?:(#)(.*))?$"
+_BASE = r"(?s)^[A-Za-z][A-Za-z0-9+.-]*:(?://([^/?#]*))?([^?#]*)(?:(\?)([^#]*))?(?:#.*)?$"
+_NETLOC = r"(?s)^(?:(.*)@)?(\[[^\]]*\]|[^:\[]?[^:]*)(?::(.*))?$"
+
+
+def _class_of(safe: str) -> str:
+    return "[" + "".join("\\" + c if not c.isalnum() else c for c in safe) + "]"
+
+
+def _encoded(text: Column, safe: str) -> Column:
+    """Percent-encoding of the characters outside ``safe``; most texts have none and are left alone."""
+    def character(c: Column) -> Column:
+        return F.when(c.rlike(f"^{_class_of(safe)}$"), c).otherwise(
+            F.regexp_replace(F.hex(F.encode(c, "utf-8")), F.lit("(..)"), F.lit("%$1")))
+
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.when(text.rlike(f"^{_class_of(safe)}*$"), text).otherwise(F.array_join(F.transform(characters, character), ""))
+
+
+def _without_dots(path: Column) -> Column:
+    """Dot segments of a path that begins with a slash, removed by a fold over its segments."""
+    segments = F.slice(F.split(path, "/"), F.lit(2), F.greatest(F.size(F.split(path, "/")) - 1, F.lit(0)))
+
+    def kind(segment: Column) -> Column:
+        low = F.lower(segment)
+        return F.when(low.isin(sorted(_DOTS)), 2).when(low.isin(sorted(_DOT)), 1).otherwise(0)
+
+    # a path that ends in dots ends in a slash
+    whole = F.when(kind(F.element_at(segments, -1)) > 0, F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    kept = F.aggregate(whole, F.array().cast("array<string>"), lambda done, segment: (
+        F.when(kind(segment) == 2, F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(kind(segment) == 1, done).otherwise(F.concat(done, F.array(segment)))))
+    return F.when(path.rlike(r"(?i)/(\.|%2e)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
+def _origin(scheme: Column, netloc: Column) -> Column:
+    """Scheme, login, host and port; NULL if one of them is no good, or the host is not ASCII."""
+    user, host, port = (F.regexp_extract(netloc, _NETLOC, k) for k in (1, 2, 3))
+    low = F.lower(host)
+    fine = (low.rlike(r"^[\x21-\x7E]+$") & (low.startswith("[") | ~low.rlike(r"[\s#%/:<>?@\\^|\[\]]"))
+            & (~low.startswith("[") | netloc.rlike(r"\](:.*)?$"))
+            & ((port == "") | port.rlike("^[0-9]{1,9}$") & (port.try_cast("int") < 65536)))
+    number = port.try_cast("int").cast("string")
+    default = F.create_map(*(F.lit(x) for pair in DEFAULT_PORTS.items() for x in pair))[scheme]
+    name, colon, word = (F.regexp_extract(user, r"(?s)^([^:]*)(:?)(.*)$", k) for k in (1, 2, 3))
+    login = F.when(user == "", "").otherwise(F.concat(_encoded(name, _KEEP_USER), colon, _encoded(word, _KEEP_USER), F.lit("@")))
+    return F.when(fine, F.concat(scheme, F.lit("://"), login, low, F.when(
+        (port != "") & (number != default), F.concat(F.lit(":"), number)).otherwise("")))
+
+
+def _native_url(base: Column, href: Column) -> Column:
+    """:func:`resolve_url` for hosts in ASCII, step by step as there; others give NULL."""
+    def tidy(c: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\n\r]", "")
+
+    base, href = tidy(F.coalesce(base, F.lit(""))), tidy(href)
+    pattern = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*):(.*)$"
+    web = sorted(DEFAULT_PORTS)
+    scheme, base_scheme = (F.lower(F.regexp_extract(c, pattern, 1)) for c in (href, base))
+    named = scheme != ""
+    rest = F.when(named, F.regexp_extract(href, pattern, 2)).otherwise(href)
+    way, query_mark, query, hash_mark, fragment = (F.regexp_extract(rest, _HREF, k) for k in range(1, 6))
+    way = F.translate(way, "\\", "/")
+    base_netloc, base_way, base_mark, base_query = (F.regexp_extract(base, _BASE, k) for k in range(1, 5))
+    base_way = F.when(base_way == "", "/").otherwise(base_way)
+    netloc, below = (F.regexp_extract(way, r"(?s)^/*([^/]*)/?(.*)$", k) for k in (1, 2))
+    below = F.concat(F.lit("/"), below)
+
+    def assembled(origin: Column, path: Column, mark: Column = query_mark, asked: Column = query) -> Column:
+        return F.concat(origin, _encoded(_without_dots(path), _KEEP_PATH), mark, _encoded(asked, _KEEP_QUERY),
+                        hash_mark, _encoded(fragment, _KEEP_FRAGMENT))
+
+    own = _origin(base_scheme, base_netloc)
+    takes_query = (query_mark == "") & (base_mark != "")
+    return (
+        F.when(named & ~scheme.isin(web), F.concat(scheme, F.lit(":"), _encoded(F.regexp_extract(href, pattern, 2), _PRINTABLE + " ")))
+        .when(named & ((scheme != base_scheme) | way.startswith("//")), assembled(_origin(scheme, netloc), below))
+        .when(~base_scheme.isin(web), F.lit(None).cast("string"))
+        .when(own.isNull(), F.lit(None).cast("string"))
+        .when(way.startswith("//"), assembled(_origin(base_scheme, netloc), below))
+        .when(way == "", assembled(own, base_way, F.when(takes_query, "?").otherwise(query_mark),
+                                   F.when(takes_query, base_query).otherwise(query)))
+        .when(way.startswith("/"), assembled(own, way))
+        .otherwise(assembled(own, F.concat(F.regexp_extract(base_way, r"(?s)^(.*)/", 1), F.lit("/"), way)))
+    )
+
+
 @F.pandas_udf(T.StringType())
-def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
-    """Column form of :func:`resolve_url`; an unusable pair gives NULL."""
+def _any_host(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([resolve_url(b, h) for b, h in zip(base, href)], dtype=object)
 
 
+def absolute_url(base: Column | str, href: Column | str, *, unicode_hosts: bool = False) -> Column:
+    """Column form of :func:`resolve_url`, all in Spark expressions; an unusable pair gives NULL.
+
+    So does a host outside ASCII, unless ``unicode_hosts``: then pairs with any character beyond ASCII go through a Python
+    step, which knows how such hosts are written.
+    """
+    base, href = (F.col(c) if isinstance(c, str) else c for c in (base, href))
+    native = _native_url(base, href)
+    if not unicode_hosts:
+        return native
+    plain = ~F.concat_ws("", base, href).rlike(r"[^\x00-\x7F]")
+    return F.when(plain, native).otherwise(_any_host(F.when(~plain, base), F.when(~plain, href)))
+
+
 def record_key(url: Column, biography_url: Column, name: Column) -> Column:
     """Key of a record: the first non-empty of its URLs and name, normalised, lower case.
 
