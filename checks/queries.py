@@ -239,7 +239,7 @@ def csv_roundtrip(spark: Spark, sf: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("name"), F.lit(None).cast("string").alias("dates"),
         F.concat(F.lit(' "'), "lang", F.lit(', " ')).alias("activity"))
     csv_files.write_records(documents, path)
-    return csv_files.read_records(spark, path, multi_line=True)
+    return csv_files.read_records(spark, path)
 
 
 def csv_two_headers(spark: Spark, sf: str) -> DataFrame:
@@ -251,7 +251,7 @@ def csv_two_headers(spark: Spark, sf: str) -> DataFrame:
         F.col("s_name").alias("name"), F.concat(F.lit("s"), "s_suppkey").alias("id"))
     csv_files.write_records(customers, f"{path}/part=a")
     csv_files.write_records(suppliers, f"{path}/part=b")
-    return csv_files.read_records(spark, path).select("id", "name", "activity")
+    return csv_files.read_records(spark, path, mixed_headers=True).select("id", "name", "activity")
 
 
 def write_statements(spark: Spark, sf: str) -> DataFrame:
@@ -271,7 +271,7 @@ def csv_to_statements(spark: Spark, sf: str) -> DataFrame:
     path = scratch_path(spark, "records")
     records_in = st.standin(spark, sf, st.LINKABLE)
     csv_files.write_records(records_in.select(*(F.col(c).cast("string").alias(c) for c in records_in.columns)), path)
-    read = csv_files.read_records(spark, path, position=True)
+    read = csv_files.read_records(spark, path, multi_line=False, position=True)
     found = linking.link_occupations(read, record_id=["file_path", "file_block", "row_no"], seeds=st.standin(spark, sf, st.SEEDS))
     return occupations.statement_columns(found)
 

@@ -35,17 +35,36 @@ def test_csv_roundtrip_with_odd_cells(spark, scratch):
     rows = [("a", 'x,"y"\nz', "1"), ("b", "", ""), ("", "", ""), ("ż", " pad ", '"'), ("c", "\\", 'a\\"b')]
     df = spark.createDataFrame(rows, "url string, name string, dates string")
     csv_files.write_records(df, path)
-    got = csv_files.read_records(spark, path, multi_line=True)
+    got = csv_files.read_records(spark, path)
     assert sorted(map(tuple, got.collect())) == sorted(x for x in rows if any(x))
-    typed = csv_files.read_records(spark, path, schema=df.schema, multi_line=True)
+    typed = csv_files.read_records(spark, path, schema=df.schema)
     assert typed.count() == 4
 
 
 def test_csv_columns_are_matched_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("url,name\nu1,n1\n")
     (tmp_path / "b.csv").write_text("name,url,extra\nn2,u2,x\n")
-    got = csv_files.read_records(spark, str(tmp_path)).select("url", "name", "extra").collect()
+    got = csv_files.read_records(spark, str(tmp_path), mixed_headers=True).select("url", "name", "extra").collect()
     assert sorted(map(tuple, got)) == [("u1", "n1", ""), ("u2", "n2", "x")]
+    # taken for files of one header, they fail and are not misread
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="CSV header"):
+            csv_files.read_records(spark, str(tmp_path), multi_line=multi_line).collect()
+
+
+def test_csv_is_read_once_and_quoted_line_breaks_are_never_broken_in_silence(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('url,name,dates\nu1,"two\nlines",1900\nu2,short\n')
+    whole = csv_files.read_records(spark, str(tmp_path))
+    assert sorted(map(tuple, whole.collect())) == [("u1", "two\nlines", "1900"), ("u2", "short", "")]
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    torn = csv_files.read_records(spark, str(tmp_path), multi_line=False)
+    for frame in (torn, torn.select("dates"), torn.select("url")):
+        with pytest.raises(PySparkException, match="tears this row apart"):
+            frame.collect()
+    (tmp_path / "a.csv").write_text('url,name,dates\nu1,"a ""q"", b",1900\nu2,short\n,,\n')
+    fine = csv_files.read_records(spark, str(tmp_path), multi_line=False)
+    assert sorted(map(tuple, fine.collect())) == [("u1", 'a "q", b', "1900"), ("u2", "short", "")]
 
 
 def test_csv_short_rows_and_positions(spark, scratch, tmp_path):

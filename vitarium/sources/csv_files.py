@@ -12,27 +12,43 @@ from vitarium.fixed import RECORD_COLUMNS
 from vitarium.schema import RECORD
 
 
-def read_records(spark: SparkSession, path: str, *, schema: T.StructType | None = None,
-                 multi_line: bool = False, position: bool = False) -> DataFrame:
+#: Holds the raw line of a row whose number of cells is not that of the header.
+_ODD = "__odd_row"
+
+
+def read_records(spark: SparkSession, path: str, *, schema: T.StructType | None = None, multi_line: bool = True,
+                 mixed_headers: bool = False, position: bool = False) -> DataFrame:
     """Records of CSV files with a header; absent cells are empty, all-empty rows dropped.
 
-    Columns are matched by name: files whose headers differ are read apart and united, and
-    without ``schema`` every column of any header is text.  Large files are split between
-    tasks; ``multi_line`` allows line breaks inside quotes, but then one task reads one
-    whole file.  ``position`` adds ``file_path``, ``file_block`` and ``row_no``, which
-    order the rows of one read.
+    All files are read once and must have one header; a file with another fails the read by name.  With
+    ``mixed_headers`` files are grouped by their header first, which takes a second look at every
+    file, read group by group and united by column name.  Without ``schema`` every column is text.
+
+    Line breaks inside quotes are part of a cell, so one task reads one whole file.  For large files without
+    any, ``multi_line=False`` lets tasks share a file; a row that a quoted line break has torn apart is
+    then an error.  ``position`` adds ``file_path``, ``file_block`` and ``row_no``, which order the rows of one read.
     """
     options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "enforceSchema": False}
 
     def read(paths: list[str] | str) -> DataFrame:
-        found = spark.read.options(**options).csv(paths)
+        reader = spark.read.options(**options)
+        found = reader.csv(paths)
+        if not multi_line:
+            names = found.schema.names
+            found = reader.schema(T.StructType([*found.schema.fields, T.StructField(_ODD, T.StringType())])).option(
+                "columnNameOfCorruptRecord", _ODD).csv(paths)
+            torn = F.length(_ODD) - F.length(F.replace(_ODD, F.lit('"'), F.lit("")))
+            problem = F.concat(F.lit("a line break inside quotes tears this row apart, read with multi_line: "), _ODD)
+            # the check stands in the first column, so no plan can leave it out
+            first = F.when(F.coalesce(torn % 2, F.lit(0)) == 1, F.raise_error(problem).cast("string")).otherwise(F.col(f"`{names[0]}`"))
+            found = found.select("*", first.alias("__first")).withColumn(names[0], F.col("__first")).drop("__first", _ODD)
         if position:
             found = found.select("*", F.col("_metadata.file_path").alias("file_path"),
                                  F.col("_metadata.file_block_start").alias("file_block"))
         return found
 
-    layouts = _layouts(spark, path)
+    layouts = _layouts(spark, path) if mixed_headers else {}
     tables = [read(files) for files in layouts.values()] if len(layouts) > 1 else [read(path)]
     df = tables[0]
     for other in tables[1:]:
@@ -54,7 +70,7 @@ def read_records(spark: SparkSession, path: str, *, schema: T.StructType | None
 def _layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """The files below ``path`` by header line; one row a file reaches the driver.
 
-    A header is the first line of its file.  Finding it reads the first block of each file once more.
+    A header is the first line of its file.  Finding it reads every file once more.
     """
     name, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     lines = spark.read.text(path).select(name.alias("file"), start.alias("start"), "value",
