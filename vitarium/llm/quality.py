@@ -58,7 +58,11 @@ def _windows(words: Column, n: Column, bits: Column) -> Column:
 
 
 def _repeated(words: Column, sorted_windows: Column, bits: Column) -> Column:
-    """Places of windows whose words stand elsewhere in the text too, in order."""
+    """Places of windows whose words stand elsewhere in the text too, in order.
+
+    A window is compared with its neighbours in hash order.  A different window of the same hash between two equal ones would hide
+    them; what is left of the hash beside the place makes that likely only in texts of about a million words.
+    """
     size = F.size(sorted_windows)
     mask = _shifted("left", F.lit(1).cast("long"), bits) - 1
     spot = lambda i: F.get(sorted_windows, i).bitwiseAND(mask).cast("int")

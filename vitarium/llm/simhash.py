@@ -237,7 +237,10 @@ def links(codes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     parts = max(parts, (tiles.agg(F.max("part")).first()[0] or 0) + 1)
     node = (F.col("part").cast("long") * (1 << 31) + F.col("tile")).alias("node")
     whole = tiles.select(node, "codes")
-    pairs = _pairs(tiles, parts, distance)
+    # dealt out by number: a pair of tiles is much work in few bytes
+    most = parts * (parts + 1) // 2
+    cores = codes.sparkSession.sparkContext.defaultParallelism
+    pairs = _pairs(tiles, parts, distance).repartition(max(1, min(most, max(4 * cores, most // 256))), "a_node", "b_node")
     pairs = pairs.join(_side(whole, "a"), "a_node").join(_side(whole, "b"), "b_node")
 
     def run(batches):
