@@ -1,4 +1,7 @@
-"""Captured pages: ``url, html`` and optionally ``status`` and ``page_seq``."""
+"""Captured pages: ``url, html, page_seq`` (the order of capture) and optionally ``status``.
+
+Jobs on listing pages need ``page_seq``; detail pages without it count as captured at once.
+"""
 
 from __future__ import annotations
 
