@@ -119,10 +119,15 @@ def detail_fields(pages: DataFrame, *, keep: Sequence[str] = ("url",)) -> DataFr
 
 
 def index_links(pages: DataFrame, *, selector: str = fixed.INDEX_LINKS, keep: Sequence[str] = ("url",),
-                base: str = "url", alias: str = "index_url") -> DataFrame:
-    """Distinct absolute links under ``selector``, numbered per page as first seen."""
+                base: str = "url", alias: str = "index_url", otherwise: str | None = None) -> DataFrame:
+    """Distinct absolute links under ``selector``, numbered per page as first seen.
+
+    A page without any gives the value of its column ``otherwise``, if that is named.
+    """
     found = _rows(pages, Part("index", (Rule("hrefs", selector, attr="href", resolve=True),)), keep, base)
     links = F.array_distinct(F.filter("hrefs", lambda h: h != ""))
+    if otherwise is not None:
+        links = F.when(F.size(links) > 0, links).otherwise(F.array(otherwise))
     return found.select(*keep, F.posexplode(links).alias("link_pos", alias))
 
 

@@ -57,13 +57,10 @@ def index_url_table(spark: SparkSession, base_url: str, initials: Sequence[str]
 
 
 def discovered_index_urls(first_pages: DataFrame, base_url: str | None = None) -> DataFrame:
-    """Index pages linked from captured start pages, else those pages themselves."""
+    """Index pages linked from captured start pages; a page without such links is one itself."""
     if base_url is not None:
         first_pages = first_pages.withColumn("url", F.lit(base_url))
-    found = index_links(first_pages)
-    own = first_pages.select("url").join(found.select("url").distinct(), "url", "left_anti")
-    return found.select("index_url", "link_pos").unionByName(
-        own.select(F.col("url").alias("index_url"), F.lit(0).alias("link_pos")))
+    return index_links(first_pages, otherwise="url").select("index_url", "link_pos")
 
 
 def build_catalogue(listing_pages: DataFrame, detail_pages: DataFrame | None, *,
