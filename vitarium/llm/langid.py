@@ -21,6 +21,7 @@ are predicted but never learned from.  A language none of whose sampled rows has
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,6 +48,8 @@ UNKNOWN_SHARE = 0.95
 UNSEEN, OVERLAPPING = 0.02, 6.0
 #: Most languages of one model; more distinct labels are an error.
 MAX_LANGUAGES = 1000
+#: One sampled row in so many is held back for calibration.
+HELD = 5
 #: Share of each label spread over all languages, so that scores of separable languages stay short of 1.
 SMOOTHING = 0.02
 UNKNOWN = "und"
@@ -129,16 +132,14 @@ def _dense(sparse: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return bags
 
 
-def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]],
+def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarray, np.ndarray]], held: np.ndarray,
           shuffled: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Fits on four fifths of the rows, then temperature and thresholds on the rest.
+    """Fits on the rows that are not ``held``, then temperature and thresholds on those.
 
-    ``shuffled`` are the n-grams of the same rows, their letters in random order.
+    ``shuffled`` are the n-grams of the held rows, their letters in random order.
     """
     rng = np.random.default_rng(20_261)
-    order = rng.permutation(len(labels))
-    held = order[: len(labels) // 5]
-    rows = order[len(labels) // 5:]
+    rows = np.flatnonzero(~held)
     embed = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     weight, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     weight += rng.normal(0, 0.1, weight.shape)
@@ -164,8 +165,8 @@ def train(languages: list[str], labels: np.ndarray, sparse: list[tuple[np.ndarra
     noise = OVERLAPPING * ((shares * log_share ** 2).sum(axis=0) - (shares * log_share).sum(axis=0) ** 2)
     model = Model(languages, (embed @ weight).astype(np.float32), bias.astype(np.float32), 1.0, 0.0, log_share.astype(np.float32),
                   (shares * log_share).sum(axis=0), np.ones(len(languages)), noise, -np.inf)
-    if len(held):
-        _calibrate(model, _dense([sparse[i] for i in held]), labels[held], _dense([shuffled[i] for i in held]))
+    if held.any():
+        _calibrate(model, _dense([sparse[i] for i in np.flatnonzero(held)]), labels[held], _dense(shuffled))
     return model
 
 
@@ -218,31 +219,41 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = rows.filter((share < wanted[F.col("lang")]) & F.col("text").isNotNull()).limit(2 * sample * len(counts))
 
+    order = F.xxhash64("id", "text")
+    chosen = chosen.select("lang", order.alias("order"), (F.pmod(order, F.lit(HELD)) == 0).alias("held"), "text")
+
     def step(texts: pa.Array) -> list:
-        columns = [[] for _ in GRAMS]
+        bags = ([], [])
         for text in texts.to_pylist():
-            for k, raw in enumerate((text.encode(), _shuffled(text).encode())):
-                counted = bag(np.frombuffer(raw, np.uint8))
-                used = np.flatnonzero(counted)
-                columns[2 * k].append(used.astype(np.int32))
-                columns[2 * k + 1].append(counted[used].astype(np.int32))
-        return columns
-
-    got = map_texts(chosen.select(F.xxhash64("id", "text").alias("order"), "lang", "text"), ["lang", "order"], "text", GRAMS, step).toArrow()
-    got = got.filter(pc.greater(pc.list_value_length(got["buckets"]), 0)).sort_by([("lang", "ascending"), ("order", "ascending")])
+            bags[0].append(_packed(text))
+            bags[1].append(_packed(_shuffled(text)))
+        return list(bags)
+
+    # of the shuffled texts only those of held rows are needed
+    got = map_texts(chosen, ["lang", "order", "held"], "text", [("bag", "binary"), ("other", "binary")], step)
+    got = got.withColumn("other", F.when(F.col("held"), F.col("other"))).toArrow().sort_by([("lang", "ascending"), ("order", "ascending")])
+    got = got.filter(pc.greater(pc.binary_length(got["bag"]), 0)) if len(got) else got
     if not len(got):
         return None
     names = got["lang"].to_pylist()
-    languages = sorted(set(names))
+    languages, held = sorted(set(names)), np.array(got["held"].to_pylist(), bool)
+    if held.all():
+        held[:] = False
+    return train(languages, np.array([languages.index(name) for name in names]), [_unpacked(b.as_py()) for b in got["bag"]], held,
+                 [_unpacked(b.as_py()) for b in got["other"].filter(pa.array(held))])
 
-    def bags(buckets: str, counts: str) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [(np.asarray(b.values), np.asarray(n.values).astype(float)) for b, n in zip(got[buckets], got[counts])]
 
-    return train(languages, np.array([languages.index(name) for name in names]), bags("buckets", "counts"),
-                 bags("other_buckets", "other_counts"))
+def _packed(text: str) -> bytes:
+    """A text's buckets and counts, small; empty without any."""
+    counted = bag(np.frombuffer(text.encode(), np.uint8))
+    used = np.flatnonzero(counted)
+    return zlib.compress(used.astype("<u2").tobytes() + counted[used].astype("<u4").tobytes(), 1) if len(used) else b""
 
 
-GRAMS = [("buckets", "array<int>"), ("counts", "array<int>"), ("other_buckets", "array<int>"), ("other_counts", "array<int>")]
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(raw) if raw else b""
+    n = len(raw) // 6
+    return np.frombuffer(raw, "<u2", n), np.frombuffer(raw, "<u4", n, 2 * n).astype(np.float32)
 
 
 def _shuffled(text: str) -> str:
