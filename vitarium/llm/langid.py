@@ -40,9 +40,9 @@ EPOCHS = 12
 RATE = 4.0
 #: Share of right calibration rows that either threshold may cost, and the highest threshold for scores.
 REJECT_RIGHT = 0.002
-MAX_THRESHOLD = 0.6
+MAX_THRESHOLD = 0.5
 #: Where the threshold for the fit lies between the known rows' low end (0) and the unknown rows' high end (1).
-TOWARDS_UNKNOWN = 0.25
+TOWARDS_UNKNOWN = 0.5
 UNKNOWN_SHARE = 0.95
 #: Weight of n-grams never seen in a language, and how many overlapping n-grams count as one observation.
 UNSEEN, OVERLAPPING = 0.02, 6.0
