@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitarium.llm import prefixtrie as pt, queries
+from vitarium.sources.files import folders
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, depth int, words string"
 
@@ -69,6 +70,18 @@ def test_like_plain_python(spark, monkeypatch, seed, deep, part, piece):
     assert trie(spark, rows, monkeypatch) == plain(rows)
 
 
+def test_long_shared_prefixes_take_rounds_only_where_conversations_meet(spark, monkeypatch):
+    """Near copies of long conversations that part late, one inside another, and one that ends on the way."""
+    rows = []
+    for conv, (length, part) in enumerate([(200, 200), (200, 199), (200, 150), (90, 90), (200, 200), (40, 39), (40, 40), (3, 1)], 1):
+        rows += [(conv * 20, t, "user", f"turn {t} of it" if t < part else f"own {conv} {t}", 1, "") for t in range(length)]
+    rounds = []
+    plain_read = pt.scratch_path
+    monkeypatch.setattr(pt, "scratch_path", lambda session, name: rounds.append(plain_read(session, name)) or rounds[-1])
+    assert trie(spark, rows, monkeypatch) == plain(rows)
+    assert len(folders(spark, f"{rounds[-1]}/nodes")) <= 9
+
+
 def test_hard_cases(spark, monkeypatch):
     rows = [
         (0, 0, "user", "a b", 1, ""), (0, 1, None, None, 1, ""), (0, None, "user", "null turn first", 1, ""), (0, 1, "", "", 1, ""),

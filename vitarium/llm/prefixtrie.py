@@ -6,11 +6,12 @@ role and text, so that stripping the last turn is one XOR and running names need
 
 Equal conversations are one row with a weight.  Of a conversation alone with its prefix from
 some depth on, all turns beyond are its own chain: their figures follow from running sums, and
-the whole chain is stripped in one step.  Peeling starts at the deepest prefix that different
-conversations share: at each depth, going up, conversations that end or whose chain was stripped
-here are merged with the surviving nodes, which gives the depth's nodes with all their figures; the
-last turn is stripped and what is left is regrouped one depth higher.  Each depth is written and
-read again.  The rounds number as many as the deepest shared prefix has turns.
+the whole chain is stripped in one step.  Peeling starts at the deepest prefix where different
+conversations meet: at each such depth, going up, conversations that end or whose chain was stripped
+here are merged with the surviving nodes, which gives the depth's nodes with all their figures; what
+is left is stripped of its last turns, up to the next prefix where others join or end, and regrouped there.
+Prefixes in between have the same members; their figures follow from running sums too.  Each depth is
+written and read again, so there are as many rounds as depths where conversations meet.
 
 Rows are combined per task before they are shuffled, so a prefix that holds a large share of all
 conversations sends one row a task.  Places and running names of a conversation that holds a large
@@ -29,6 +30,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vitarium.llm.quality import words_of
 from vitarium.session import scratch_path, stored
@@ -160,8 +162,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     prefixes = stored(_prefixes(turns.join(some, "conv")), "prefixes")
 
     # where a conversation is first alone with its prefix; above that it shares it
-    alone = prefixes.groupBy("depth", "k1", "k2").agg(F.count("*").alias("n"), F.min("conv").alias("conv")).filter("n = 1")
-    tops = alone.groupBy("conv").agg(F.min("depth").alias("top"))
+    counts = stored(prefixes.groupBy("depth", "k1", "k2").agg(F.count("*").alias("n"), F.min("conv").alias("conv")), "counts")
+    tops = counts.filter("n = 1").groupBy("conv").agg(F.min("depth").alias("top"))
     rows = stored(rows.join(tops, "conv", "left").withColumn(
         "meets", F.when(F.col("top") == 1, F.lit(0)).otherwise(F.coalesce(F.col("top") - 1, "depth"))).withColumnRenamed(
             "depth", "turns"), "rows")
@@ -172,7 +174,24 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         F.lit(1).cast("long").alias("n_leaves"), ((F.col("weight") - 1) * (F.col("total") - F.col("before"))).alias("saved"),
         F.when(more, F.lit(NO_ENDS)).otherwise(F.col("ends")).alias("ends"), (F.col("depth") == F.col("meets") + 1).alias("top"))
     chain = stored(chain, "chains")
-    shared = stored(marked.filter("depth <= meets").select("conv", "depth", "p1", "p2", "words").sortWithinPartitions("depth"), "shared")
+    figures = ["conv", "depth", "parent_conv", "n_convs", "n_children", "n_leaves", "saved", "ends"]
+    below = chain.filter("not top").withColumn("parent_conv", F.col("conv")).select(*figures)
+    if rows.isEmpty():
+        return below
+    # a shared prefix whose members all go on alike has a child with as many; at the others conversations meet
+    several = counts.filter("n > 1")
+    alike = several.select("conv", (F.col("depth") - 1).alias("depth"), "n")
+    meeting = several.join(alike, ["conv", "depth", "n"], "left_anti").select("k1", "k2", "depth", F.lit(True).alias("meet"))
+    depths = sorted({0, *(r[0] for r in meeting.select("depth").distinct().collect())})
+    path = Window.partitionBy("conv").orderBy("depth")
+    at = F.when(F.col("meet"), F.struct("depth", "k1", "k2", (F.col("before") + F.col("words")).alias("upto")))
+    shared = marked.filter("depth <= meets").select("conv", "depth", "k1", "k2", "p1", "p2", "words", "before").join(
+        meeting, ["k1", "k2", "depth"], "left")
+    shared = stored(shared.select(
+        "conv", "depth", "k1", "k2", "p1", "p2", "words", "before", F.coalesce("meet", F.lit(False)).alias("meet"),
+        F.last(at, True).over(path.rowsBetween(Window.unboundedPreceding, -1)).alias("up"),
+        F.min(F.when(F.col("meet"), F.col("depth"))).over(path.rowsBetween(0, Window.unboundedFollowing)).alias("next")
+    ).sortWithinPartitions("depth"), "shared")
 
     # conversations enter where their chain is stripped off, or where they end
     stripped = chain.filter("top").select(
@@ -181,37 +200,43 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     ended = rows.filter("top is null").select(
         F.col("turns").alias("depth"), "k1", "k2", "conv", F.col("weight").alias("n_convs"),
         *(F.lit(0).cast("long").alias(c) for c in ("n_children", "n_leaves", "saved")), "ends")
-    entering = stored(stripped.unionByName(ended), "entering")
     folder = scratch_path(spark, "peeled")
-    survivors, depth = None, entering.agg(F.max("depth")).first()[0]
-    while depth is not None and depth >= 0:
-        here = entering.filter(F.col("depth") == depth)
-        if survivors is not None:
-            here = here.unionByName(survivors)
+    entering = stripped.unionByName(ended)
+    entering.write.partitionBy("depth").parquet(f"{folder}/waiting")
+    waiting = StructType([f for f in entering.schema if f.name != "depth"])
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    for depth in reversed(depths):
+        here = spark.read.schema(waiting).parquet(f"{folder}/waiting/depth={depth}")
         nodes = here.groupBy("k1", "k2").agg(
             F.min("conv").alias("conv"), *(F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved")),
             F.max("ends").alias("ends"))
-        turn = shared.filter(F.col("depth") == depth).drop("depth")
         if depth:
-            nodes = nodes.join(turn, "conv")
+            nodes = nodes.join(shared.filter((F.col("depth") == depth) & F.col("meet")).select(
+                "conv", "p1", "p2", "words", "before", "up"), "conv")
         else:
-            nodes = nodes.select("*", *(F.lit(None).cast("long").alias(c) for c in ("p1", "p2")), F.lit(0).cast("long").alias("words"))
+            nodes = nodes.select("*", *(none.alias(c) for c in ("p1", "p2")), *(zero.alias(c) for c in ("words", "before")),
+                                 F.lit(None).cast(shared.schema["up"].dataType).alias("up"))
         nodes = nodes.select(
             "conv", F.lit(depth).cast("long").alias("depth"), "k1", "k2", "p1", "p2", "n_convs", "n_children",
             F.greatest("n_leaves", F.lit(1).cast("long")).alias("n_leaves"),
-            (F.col("saved") + (F.col("n_convs") - 1) * F.col("words")).alias("saved"), F.coalesce("ends", F.lit(NO_ENDS)).alias("ends"))
-        path = f"{folder}/{depth}"
-        nodes.write.parquet(path)
-        done = spark.read.schema(nodes.schema).parquet(path)
-        survivors = done.select(
-            (F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2"), "conv", "n_convs",
-            F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved", F.lit(None).cast("string").alias("ends"))
-        depth -= 1
-    figures = ["conv", "depth", "parent_conv", "n_convs", "n_children", "n_leaves", "saved", "ends"]
-    below = chain.filter("not top").withColumn("parent_conv", F.col("conv")).select(*figures)
-    if survivors is None:
-        return below
-    peeled = spark.read.schema(nodes.schema).parquet(f"{folder}/*")
+            (F.col("saved") + (F.col("n_convs") - 1) * F.col("words")).alias("saved"), F.coalesce("ends", F.lit(NO_ENDS)).alias("ends"),
+            "before", "up")
+        nodes.write.parquet(f"{folder}/nodes/{depth}")
+        if depth:  # what is left waits where it next meets others
+            done = spark.read.schema(nodes.schema).parquet(f"{folder}/nodes/{depth}")
+            between = F.col("before") - F.coalesce("up.upto", zero)
+            done.select(
+                F.coalesce("up.depth", F.lit(0)).alias("depth"), F.coalesce("up.k1", zero).alias("k1"), F.coalesce("up.k2", zero).alias("k2"),
+                "conv", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves",
+                (F.col("saved") + (F.col("n_convs") - 1) * between).alias("saved"), F.lit(None).cast("string").alias("ends"),
+            ).write.mode("append").partitionBy("depth").parquet(f"{folder}/waiting")
+    peeled = spark.read.schema(nodes.schema).parquet(*(f"{folder}/nodes/{depth}" for depth in depths))
+    # prefixes on the way from one meeting to the next, by the member that names them
+    ends_at = peeled.select("conv", F.col("depth").alias("next"), "n_convs", "n_leaves", "saved", F.col("before").alias("last"))
+    ways = shared.filter(~F.col("meet")).join(ends_at, ["conv", "next"]).select(
+        "conv", "depth", "k1", "k2", "p1", "p2", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves",
+        (F.col("saved") + (F.col("n_convs") - 1) * (F.col("last") - F.col("before"))).alias("saved"), F.lit(NO_ENDS).alias("ends"))
+    peeled = peeled.drop("before", "up").unionByName(ways)
     names = peeled.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), (F.col("depth") + 1).alias("depth"),
                           F.col("conv").alias("parent_conv"))
     rest = chain.filter("top").drop("top").unionByName(peeled)
