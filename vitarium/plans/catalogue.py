@@ -141,8 +141,9 @@ def append_listing(spark: SparkSession, pages: DataFrame, log_path: str, *, batc
         return append_checkpoint(fresh, log_path, batch_id=batch_id, stage=LISTING_STAGE)
     # parsed once: which buckets to ask is known only after
     work = f"{log_path}/_work/{uuid.uuid4().hex}"
-    new_records_only(cards, known, seq=CARD_ORDER).write.parquet(work)
-    parsed = spark.read.parquet(work)
+    unseen = new_records_only(cards, known, seq=CARD_ORDER)
+    unseen.write.parquet(work)
+    parsed = spark.read.schema(unseen.schema).parquet(work)
     fresh = new_records_only(parsed, scan_snapshot(spark, log_path, state, keys=parsed), seq=CARD_ORDER)
     done = append_checkpoint(fresh, log_path, batch_id=batch_id, stage=LISTING_STAGE)
     remove(spark, work)
