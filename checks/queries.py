@@ -480,7 +480,7 @@ def stream_dedupe(spark: Spark, sf: str) -> DataFrame:
 
 
 def stream_state(spark: Spark, sf: str) -> DataFrame:
-    state = jobs.stream_state(_stream_of(spark, st.standin(spark, sf, st.PROGRESS), "progress"), seq="seq")
+    state = jobs.stream_state(_stream_of(spark, st.standin(spark, sf, st.PROGRESS), "progress"), seq="seq", keep_html=True)
     out = scratch_path(spark, "state")
     jobs.write_state(state, out, scratch_path(spark, "fold")).awaitTermination()
     return jobs.read_state(spark, out, state.schema)

@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.oracles import ORACLES
 from tests.site import BASE, card, detail, listing, pages
 from vitarium.operators.listing import pages_ahead, resume_points
 from vitarium.operators.pages import listing_cards, pager_summary
@@ -402,6 +403,23 @@ def test_state_versions_hold_only_what_changed(spark, scratch):
     assert "html" not in state.columns
 
 
+def test_state_can_keep_the_latest_html(spark, scratch):
+    folder, out = scratch("events"), scratch("state")
+    schema = "index_url string, seq long, page long, html string, updated_at timestamp"
+    at = datetime.datetime(2026, 1, 1)
+    for rows in ([("a", 1, 1, "<p>1", at), ("b", 1, 1, "<p>1", at), ("c", 1, 1, None, at)], [("a", 2, 2, "<p>2", at), ("b", 2, 2, None, at)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    state = jobs.stream_state(events, seq="seq", keep_html=True)
+    jobs.write_state(state, out, scratch("checkpoint")).awaitTermination()
+    got = {r.index_url: (r.last_page, r.html) for r in jobs.read_state(spark, out, state.schema).collect()}
+    assert got == {"a": (2, "<p>2"), "b": (2, "<p>1"), "c": (1, None)}
+
+
+def test_stream_state_query_and_sql_have_the_html():
+    assert "EXCLUDE" not in ORACLES["stream_state"]
+
+
 def test_a_new_checkpoint_needs_a_new_run(spark, scratch):
     lists, _ = many(spark)
     folder, path = scratch("pages"), scratch("log")

@@ -122,9 +122,14 @@ def stream_dedupe(records: DataFrame, *, seq: str, event_time: str, forget_after
 
 
 def stream_state(events: DataFrame, *, seq: Seq, index_url: str = "index_url", page: str = "page",
-                 updated_at: str = "updated_at") -> DataFrame:
-    """Listing state kept up to date, without page HTML, which stays in the pages table."""
-    return fold_listing_state(events.drop("html"), seq=seq, index_url=index_url, page=page, updated_at=updated_at)
+                 updated_at: str = "updated_at", keep_html: bool = False) -> DataFrame:
+    """Listing state kept up to date.
+
+    ``keep_html`` holds the latest page's HTML of each index in the state, so that a resumed run can read on from it;
+    by default it stays in the pages table.
+    """
+    events = events if keep_html else events.drop("html")
+    return fold_listing_state(events, seq=seq, index_url=index_url, page=page, updated_at=updated_at)
 
 
 def write_state(state: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
