@@ -232,7 +232,9 @@ def suggest(records: DataFrame, model: DataFrame, *, record_id: Seq, activity: s
     pieces = activity_pieces(records, record_id=ids, activity=activity)
     labels = pieces.select("text").distinct()
     matches = match_labels(labels, model, min_confidence=min_confidence)
-    found = lookup_join(pieces, matches, "text", how="inner")
+    # dealt out by record before they are ranked: what is only wanted of the best is then sorted in
+    # partitions of the size that adaptive execution chooses, and not in those of the join
+    found = lookup_join(pieces, matches, "text", how="inner").repartition(*ids)
     order = Window.partitionBy(*ids).orderBy(
         F.col("confidence").desc(), F.collate("label", "pl"), "piece_pos", "seed_pos")
     return found.select(
