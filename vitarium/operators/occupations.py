@@ -272,7 +272,8 @@ def statements(records: DataFrame, suggestions: DataFrame, *, record_id: Seq, ac
         either(qid).alias("item_qid"),
         source_url.alias("source_url"),
     )
-    return suggestions.join(about, ids).select(
+    # a merge join: records look smaller beforehand than they are, and suggestions lie by record already
+    return suggestions.join(about.hint("merge"), ids).select(
         *ids, "rank", "name",
         F.col("__activity").alias("activity"),
         "item_qid", "source_url", "source_activity", "occupation_qid", "occupation_label", "confidence",
