@@ -328,12 +328,19 @@ def build_catalogue(spark: Spark, sf: str) -> DataFrame:
         st.standin(spark, sf, st.LISTING_PAGES), st.standin(spark, sf, st.DETAIL_PAGES)).drop("first_seq", "page_seq")
 
 
+#: One file of pages stands for this many bytes of the documents table.
+FILE_BYTES = 8 << 20
+
+
 def _page_files(spark: Spark, sf: str, sql: str) -> DataFrame:
     path = scratch_path(spark, "pages")
     rows = st.standin(spark, sf, sql).select(*[F.col(f.name).cast(f.dataType) for f in PAGES])
-    # one file and one micro-batch after the other; ranges keep early pages in early files
-    rows.repartitionByRange(4, "page_seq").write.parquet(path)
-    return stream_pages(spark, path, files_per_batch=2)
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    size = int(str(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files = max(4, -(-size // FILE_BYTES))
+    # half of the files a micro-batch, four files at least; ranges keep early pages in early files
+    rows.repartitionByRange(files, "page_seq").write.parquet(path)
+    return stream_pages(spark, path, files_per_batch=-(-files // 2))
 
 
 def _streamed_log(spark: Spark, sf: str, details: bool) -> str:
