@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.site import BASE, card, detail, listing, pages
 from vitarium.operators import pages as p
-from vitarium.operators.extract import Rule, Search, extract, find_parts, find_values
+from vitarium.operators.extract import Part, Rule, Search, extract, extract_parts, find_parts, find_values
 
 PAGER = listing([("4", None), ("5", "go_to_five"), ("6", "go_six"), (">", "go_on_")], [])
 
@@ -140,3 +140,35 @@ def test_executors_need_no_copy_of_the_package():
     root = pathlib.Path(__file__).parent.parent
     environment = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
     subprocess.run([sys.executable, "-c", script, str(root)], cwd="/", env=environment, check=True, timeout=300)
+
+
+def test_a_batch_is_let_go_before_the_next(spark):
+    """A worker holds one batch of pages at a time, whatever the number of batches, and small batches of results."""
+    import collections
+
+    import pyarrow as pa
+
+    class Captured:
+        schema = spark.createDataFrame([], "url string, html string").schema
+
+        def select(self, *columns):
+            self.columns = columns
+            return self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+    taken, held = Captured(), []
+    extract_parts(taken, [Part("", (Rule("title", "title"),))])
+
+    def batches():
+        for n in range(3):
+            held.append(pa.total_allocated_bytes())
+            html = f"<title>{n}</title>" + "x" * 4_000_000
+            yield pa.RecordBatch.from_pydict({c: ["u"] if c == "url" else [html] for c in taken.columns})
+
+    collections.deque(taken.run(batches()), maxlen=0)
+    assert max(held) - held[0] < 1_000_000
+    long = pa.RecordBatch.from_pydict({c: ["u"] * 8 if c == "url" else ["<title>a</title>" + "x" * 600_000] * 8 for c in taken.columns})
+    assert [out.num_rows for out in taken.run(iter([long]))] == [2, 2, 2, 2]
