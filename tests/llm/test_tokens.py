@@ -27,3 +27,28 @@ def test_ids_equal_the_library(name, chars, monkeypatch):
     for some in (texts[:40], texts):
         for text, ids in zip(some, mine.encode(some)):
             assert np.frombuffer(ids, mine.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_of_every_length_and_in_any_company(name):
+    path = public_tokenizers.path(name)
+    rng = random.Random(5)
+    words = ["".join(rng.choice(some) for _ in range(n)) for n in range(1, 300) for some in ("a", "aé", "thion", "nedgqxàT", "ab1.,")]
+    texts = [*words, " ".join(words), " ".join(f"{a},{b}" for a, b in zip(words, reversed(words)))]
+    library, mine = Tokenizer.from_file(path), BpeEncoder(path)
+    for text, ids in zip(texts, mine.encode(texts)):
+        assert np.frombuffer(ids, mine.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_met_once_do_not_drive_out_those_met_again(monkeypatch):
+    mine = BpeEncoder(public_tokenizers.path("byte_bpe_50k.json"), memo_words=100)
+    merged = []
+    once = BpeEncoder._merge_words
+    monkeypatch.setattr(BpeEncoder, "_merge_words", lambda self, flat, kind, starts, ends: (
+        merged.append(len(starts)), once(self, flat, kind, starts, ends))[1])
+    rng = random.Random(6)
+    again = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(20)]
+    for _ in range(8):
+        new = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(90)]
+        mine.encode([" ".join(["x", *again, *new, *again])])
+    assert sum(merged) <= 8 * 90 + 20 + 8  # all one-off words, the others but once, a first word a text
